@@ -8,6 +8,7 @@ from tallyforge.functions.scalars import (
     share_pct,
     typed_flag,
     typed_int,
+    variant_text,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "share_pct",
     "typed_flag",
     "typed_int",
+    "variant_text",
 ]

@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Texts accepted as numbers with digit separators, and as dates.
-SEPARATED_INT = r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$"
+# Texts accepted as whole numbers and as dates.
+INT_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 DATE_TEXT = r"^(?!0000)[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])$"
 DATE_PREFIX_LENGTH = 10
 BATCH_STAMP = "yyyyMMdd_HHmmss"
@@ -18,16 +18,20 @@ SHARE_SCALE = "decimal(18,12)"
 
 
 def safe_int(text: Column) -> Column:
-    """Whole number in a text, else NULL: '12', ' 12 ', '+5' and '1_000' count; '12.0', '1e3' and '1,234' do not."""
-    separated = text.contains("_") & text.rlike(SEPARATED_INT)
-    return F.when(separated, F.replace(text, F.lit("_"), F.lit("")).try_cast("int")).otherwise(text.try_cast("int"))
+    """Whole number in a text, else NULL: '12', ' 12 ', '+5' and '1_000' count; '12.0', '1e3' and '1,234' do not.
+
+    The pattern decides first: a failing try_cast costs an exception per value, which dirty data would pay often.
+    """
+    return F.when(text.rlike(INT_TEXT), _digits(text).try_cast("int"))
 
 
 def int_overflows(text: Column) -> Column:
     """True for a whole number that a 32-bit integer cannot hold."""
-    wide = F.replace(text, F.lit("_"), F.lit(""))
-    whole = wide.rlike(r"^\s*[+-]?[0-9]+\s*$") & (~text.contains("_") | text.rlike(SEPARATED_INT))
-    return F.coalesce(whole & wide.try_cast("int").isNull(), F.lit(False))
+    return F.coalesce(text.rlike(INT_TEXT) & _digits(text).try_cast("int").isNull(), F.lit(False))
+
+
+def _digits(text: Column) -> Column:
+    return F.replace(text, F.lit("_"), F.lit(""))
 
 
 def safe_date(text: Column) -> Column:
@@ -60,31 +64,33 @@ def batch_id(stamp: Column, prefix: str = "full_") -> Column:
     return F.concat(F.lit(prefix), F.date_format(stamp, BATCH_STAMP))
 
 
-def _json_kinds(record: Column, key: str):
-    """Field value, its JSON kind, and the test for a non-integer number."""
-    value = F.try_variant_get(record, f"$.{key}", "variant")
-    kind = F.schema_of_variant(value)
-    return value, kind, kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+def variant_text(value: Column) -> Column:
+    """Text of a variant: a string as it is, anything else as its JSON."""
+    return F.try_variant_get(value, "$", "string")
 
 
-def typed_int(record: Column, key: str) -> Column:
-    """Whole number of a field whose JSON type matters: numbers are truncated, true is 1, texts go through safe_int."""
-    value, kind, fractional = _json_kinds(record, key)
+def _is_fraction(kind: Column) -> Column:
+    return kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+
+
+def typed_int(value: Column) -> Column:
+    """Whole number in a variant by its JSON type: numbers are truncated, true is 1, texts go through safe_int."""
+    kind = F.schema_of_variant(value)
     return (
-        F.when(kind == "STRING", safe_int(F.try_variant_get(value, "$", "string")))
+        F.when(kind == "STRING", safe_int(variant_text(value)))
+        .when(kind == "BIGINT", F.try_variant_get(value, "$", "int"))
         .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int"))
-        .when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint").try_cast("int"))
-        .when(fractional, F.try_variant_get(value, "$", "double").try_cast("int"))
+        .when(_is_fraction(kind), F.try_variant_get(value, "$", "double").try_cast("int"))
     )
 
 
-def typed_flag(record: Column, key: str) -> Column:
-    """Truth of a flag whose JSON type matters: absent, null, '', 0, false, [] and {} are false."""
-    value, kind, fractional = _json_kinds(record, key)
+def typed_flag(value: Column) -> Column:
+    """Truth of a variant by its JSON type: absent, null, '', 0, false, [] and {} are false."""
+    kind = F.schema_of_variant(value)
     truth = (
-        F.when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
+        F.when(kind == "STRING", variant_text(value) != "")
         .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when((kind == "BIGINT") | fractional, F.try_variant_get(value, "$", "double") != 0)
+        .when((kind == "BIGINT") | _is_fraction(kind), F.try_variant_get(value, "$", "double") != 0)
         .when(kind.isNotNull() & (kind != "VOID"), ~F.to_json(value).isin("[]", "{}"))
     )
     return F.coalesce(truth, F.lit(False))

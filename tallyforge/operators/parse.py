@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.functions import any_flag, int_overflows, safe_date, safe_int, typed_flag, typed_int
+from tallyforge.functions import any_flag, int_overflows, safe_date, safe_int, typed_flag, typed_int, variant_text
 from tallyforge.operators.constraints import counts_to_rows
 
 REASON = "reject_reason"
@@ -39,27 +39,32 @@ class RecordSpec:
         return list(dict.fromkeys([*self.texts.values(), *self.ints.values(), *self.dates.values(), *self.flags]))
 
 
-def unpack(bronze: DataFrame, spec: RecordSpec, raw: str = "raw_data") -> DataFrame:
-    """Input columns plus `record`, the record's texts by key, parsed once. `record._corrupt` marks text that is not JSON."""
-    fields = [T.StructField(key, T.StringType()) for key in [*spec.record_keys(), _CORRUPT]]
-    parsed = F.from_json(raw, T.StructType(fields), {"columnNameOfCorruptRecord": _CORRUPT})
-    return bronze.withColumn("record", parsed)
+def unpack(
+    bronze: DataFrame, spec: RecordSpec, raw: str = "raw_data", typed_json: bool = False, filters_follow: bool = False
+) -> DataFrame:
+    """Raw text plus `record`, the record's values by key, as texts or as variants.
+
+    `record._corrupt` marks text that is not JSON. With filters_follow=True the parse is a generator of one row,
+    so that filters on its result stay above it; pushed below, each would parse the text again.
+    """
+    value_type = T.VariantType() if typed_json else T.StringType()
+    fields = [T.StructField(key, value_type) for key in spec.record_keys()]
+    schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(raw, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    return bronze.select(raw, F.explode(F.array(parsed)).alias("record") if filters_follow else parsed.alias("record"))
 
 
-def parse(bronze: DataFrame, spec: RecordSpec, typed_json: bool = False, raw: str = "raw_data") -> DataFrame:
+def parse(
+    bronze: DataFrame, spec: RecordSpec, typed_json: bool = False, filters_follow: bool = True, raw: str = "raw_data"
+) -> DataFrame:
     """All records as typed rows, with the raw text and `reject_reason` (NULL for usable rows).
 
     One pass and no Python: write it once, partitioned by the reason, or take `accepted` and `rejected` of it.
     typed_json=True honours JSON numbers and booleans instead of reading every value as text.
     """
-    if typed_json:
-        rows = bronze.withColumn("record", F.try_parse_json(raw))
-        made = _typed_columns(spec)
-        is_json = F.col("record").isNotNull()
-    else:
-        rows = unpack(bronze, spec, raw)
-        made = _text_columns(spec)
-        is_json = F.col("record").isNotNull() & F.col(f"record.{_CORRUPT}").isNull()
+    rows = unpack(bronze, spec, raw, typed_json, filters_follow)
+    made = _typed_columns(spec) if typed_json else _text_columns(spec)
+    is_json = F.col("record").isNotNull() & F.col(f"record.{_CORRUPT}").isNull()
     typed = rows.select(raw, *[made[c].alias(c) for c in spec.columns()], is_json.alias("_is_json"))
     reason = F.when(~F.col("_is_json"), F.lit("bad_json"))
     for name in spec.required:
@@ -76,17 +81,15 @@ def _text_columns(spec: RecordSpec) -> dict[str, Column]:
 
 
 def _typed_columns(spec: RecordSpec) -> dict[str, Column]:
-    record = F.col("record")
-
-    def text(key: str) -> Column:
-        return F.try_variant_get(record, f"$.{key}", "string")
+    def value(key: str) -> Column:
+        return F.col(f"record.{key}")
 
-    made = {c: text(k) for c, k in spec.texts.items()}
-    made |= {c: typed_int(record, k) for c, k in spec.ints.items()}
-    made |= {c: safe_date(text(k)) for c, k in spec.dates.items()}
+    made = {c: variant_text(value(k)) for c, k in spec.texts.items()}
+    made |= {c: typed_int(value(k)) for c, k in spec.ints.items()}
+    made |= {c: safe_date(variant_text(value(k))) for c, k in spec.dates.items()}
     flag = F.lit(False)
     for key in spec.flags:
-        flag = flag | typed_flag(record, key)
+        flag = flag | typed_flag(value(key))
     made[spec.flag_column] = flag
     return made
 

@@ -11,8 +11,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +42,11 @@ class TableSet:
 
     def published(self) -> tuple[int, dict[str, list[str]]]:
         """Newest version number and its folders by table; (0, {}) before the first publication."""
-        try:
-            log = self.spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{self.root}/_published")
-            newest: Row | None = log.orderBy(F.desc("version")).first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            newest = None
+        path = f"{self.root}/_published"
+        if not path_exists(self.spark, path):
+            return 0, {}
+        log = self.spark.read.schema(PUBLISHED_SCHEMA).parquet(path)
+        newest = log.orderBy(F.desc("version")).first()
         return (newest.version, dict(newest.folders)) if newest else (0, {})
 
     def folders(self, name: str) -> dict[str, str]:
@@ -96,6 +93,11 @@ def _by_value(folders: list[str]) -> dict[str, str]:
     return {folder.split("/")[0].split("=", 1)[1]: folder for folder in folders}
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
 def new_run() -> str:
     """A folder name no other run uses, so a retried run never mixes with an earlier attempt."""
     return uuid.uuid4().hex

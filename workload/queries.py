@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge import functions as fn
 from tallyforge.operators import constraints, quality, reporting
@@ -298,10 +299,11 @@ def scalar_typed_json(spark, sf_dir):
             F.when(is_click, "").otherwise("0").alias("mark"),
         )
     )
-    record = events.select("event_id", F.try_parse_json(raw).alias("record"))
-    keys = ("whole", "fraction", "truth", "text", "word", "absent")
-    ints = [fn.typed_int(F.col("record"), k).alias(f"{k}_value") for k in keys]
-    flags = [fn.typed_flag(F.col("record"), k).alias(f"{k}_flag") for k in ("truth", "mark", "fraction", "absent")]
+    keys = ("whole", "fraction", "truth", "text", "word", "absent", "mark")
+    schema = T.StructType([T.StructField(k, T.VariantType()) for k in keys])
+    record = events.select("event_id", F.from_json(raw, schema).alias("record"))
+    ints = [fn.typed_int(F.col(f"record.{k}")).alias(f"{k}_value") for k in keys[:-1]]
+    flags = [fn.typed_flag(F.col(f"record.{k}")).alias(f"{k}_flag") for k in ("truth", "mark", "fraction", "absent")]
     return record.select("event_id", *ints, *flags)
 
 
