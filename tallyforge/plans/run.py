@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -15,7 +16,7 @@ from tallyforge.operators.parse import REASON, parse
 from tallyforge.operators.upsert import merge
 from tallyforge.plans import mortality
 from tallyforge.sources import bronze
-from tallyforge.sources.versions import TableSet, new_run
+from tallyforge.sources.versions import TableSet, by_value, new_run
 
 GOLD_BUILT_FROM = "_gold_built_from"
 MOST_FOLDERS = 10000
@@ -139,38 +140,43 @@ def build_gold(spark: SparkSession, config: Config, result: Result, at: datetime
     """Upsert the reporting tables for the years whose silver folder changed since the last publication,
     check the outcome as it would be, and only then publish all three together.
 
-    A year's impact also depends on the silver rows of the year before.
+    A year's impact also depends on the silver rows of the year before, so the year after a changed one follows it.
     """
     tables = TableSet(spark, config.root)
     _, published = tables.published()
-    silver_now = tables.folders(mortality.SILVER.name)
+    silver_now = {int(year): folder for year, folder in by_value(published.get(mortality.SILVER.name, [])).items()}
     built_from = set() if rebuild else set(published.get(GOLD_BUILT_FROM, []))
-    changed = {int(year) for year, folder in silver_now.items() if folder not in built_from}
-    followed = sorted(y for y in (int(v) for v in silver_now) if y in changed or y - 1 in changed)
-    needed = sorted({y for y in (int(v) for v in silver_now) if y in followed or y + 1 in followed})
-    silver = tables.read(mortality.SILVER, [silver_now[str(y)] for y in needed])
+    changed = sorted(year for year, folder in silver_now.items() if folder not in built_from)
+    followed = sorted(year for year in silver_now if year in changed or year - 1 in changed)
+    needed = sorted(year for year in silver_now if year in followed or year + 1 in followed)
+    silver = tables.read(mortality.SILVER, [silver_now[year] for year in needed])
 
-    layouts, keys = mortality.gold_layouts(config.entity), mortality.gold_keys(config.entity)
+    entity, layouts, run_id = config.entity, mortality.gold_layouts(config.entity), new_run()
     sources = {
-        "trends": (mortality.trends(silver, config.entity), sorted(changed)),
-        "summary": (mortality.summary(silver, config.entity), sorted(changed)),
-        "impact": (mortality.impact(silver, config.entity), followed),
+        "trends": (mortality.trends(silver, entity), changed),
+        "summary": (mortality.summary(silver, entity), changed),
+        "impact": (mortality.impact(silver, entity), followed),
     }
-    ready, pending, run_id = {}, {}, new_run()
-    for name, (rows, years) in sources.items():
-        layout, current = layouts[name], tables.folders(name)
+
+    def build(name: str) -> tuple[str, list[str], DataFrame]:
+        layout, current = layouts[name], by_value(published.get(name, []))
+        rows, years = sources[name]
+        added = []
         if years:
             mine = rows.filter(F.col("year").isin(years))
             stamped = enforce(mine, layout.schema, defaults={"loaded_at": F.lit(at).cast("timestamp")})
-            target = tables.read(layout, [current[str(y)] for y in years if str(y) in current])
-            merged = merge(target, stamped, keys[name], run_ts=at)
-            pending[name] = tables.write(layout, merged, years, run_id)
-        added = {f.split("/")[0]: f for f in pending.get(name, [])}
-        kept = [f for f in current.values() if f.split("/")[0] not in added]
-        ready[name] = tables.read(layout, [*kept, *added.values()])
-
-    result.report = quality.gate(quality.report(ready, config.checks))
-    if pending:
-        tables.publish(pending, at, notes={GOLD_BUILT_FROM: sorted(silver_now.values())})
-    result.gold_years = sorted(changed)
+            target = tables.read(layout, [current[str(year)] for year in years if str(year) in current])
+            merged = merge(target, stamped, mortality.gold_keys(entity)[name], run_ts=at)
+            added = tables.write(layout, merged, years, run_id)
+        return name, added, tables.read(layout, list({**current, **by_value(added)}.values()))
+
+    # Three independent jobs: started together, the short ones fill the tail of the long one.
+    with ThreadPoolExecutor(len(sources)) as pool:
+        built = list(pool.map(build, sources))
+
+    result.report = quality.gate(quality.report({name: ready for name, _, ready in built}, config.checks))
+    if changed:
+        folders = {name: added for name, added, _ in built}
+        tables.publish(folders, at, notes={GOLD_BUILT_FROM: sorted(silver_now.values())})
+    result.gold_years = changed
     return result

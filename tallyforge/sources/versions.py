@@ -51,7 +51,7 @@ class TableSet:
 
     def folders(self, name: str) -> dict[str, str]:
         """Published folders of a table by partition value (as text)."""
-        return _by_value(self.published()[1].get(name, []))
+        return by_value(self.published()[1].get(name, []))
 
     def read(self, layout: Layout, folders: list[str] | None = None) -> DataFrame:
         """The published table, or the given folders of it. Only folders are listed, not the whole table."""
@@ -82,14 +82,15 @@ class TableSet:
         """
         version, folders = self.published()
         for name, added in changes.items():
-            folders[name] = sorted({**_by_value(folders.get(name, [])), **_by_value(added)}.values())
+            folders[name] = sorted({**by_value(folders.get(name, [])), **by_value(added)}.values())
         row = (version + 1, at, {**folders, **(notes or {})})
         log = self.spark.createDataFrame([row], PUBLISHED_SCHEMA).coalesce(1)
         log.write.mode("append").parquet(f"{self.root}/_published")
         return version + 1
 
 
-def _by_value(folders: list[str]) -> dict[str, str]:
+def by_value(folders: list[str]) -> dict[str, str]:
+    """Folders by partition value (as text)."""
     return {folder.split("/")[0].split("=", 1)[1]: folder for folder in folders}
 
 

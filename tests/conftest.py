@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     settings = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.sql.session.timeZone": "UTC",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
