@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LOADED_AT = "loaded_at"
@@ -14,13 +14,14 @@ LOADED_AT = "loaded_at"
 def last_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The greatest row of every key, by `order` and then by all remaining columns, so that the choice is fixed.
 
-    An aggregate, not a window: each task reduces a repeated key before the shuffle.
+    Spark applies a rank of one within each task before the shuffle too, so a key repeated in a large part of the
+    rows sends one row per task.
     """
-    rest = [c for c in rows.columns if c not in keys]
-    ranks = [(F.col(o) if isinstance(o, str) else o).alias(f"_rank{i}") for i, o in enumerate(order)]
-    greatest = F.max(F.struct(*ranks, *[F.col(c) for c in rest]))
-    kept = rows.groupBy(*keys).agg(greatest.alias("_last"))
-    return kept.select(*[F.col(c) if c in keys else F.col("_last")[c].alias(c) for c in rows.columns])
+    ranks = [F.col(o) if isinstance(o, str) else o for o in order]
+    rest = [F.col(c) for c in rows.columns if c not in [*keys, *(o for o in order if isinstance(o, str))]]
+    greatest_first = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in [*ranks, *rest]])
+    ranked = rows.withColumn("_rank", F.row_number().over(greatest_first))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def require_unique(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

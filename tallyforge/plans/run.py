@@ -16,6 +16,7 @@ from tallyforge.operators.parse import REASON, parse
 from tallyforge.operators.upsert import merge
 from tallyforge.plans import mortality
 from tallyforge.sources import bronze
+from tallyforge.sources.landing import spread
 from tallyforge.sources.versions import TableSet, by_value, new_run
 
 GOLD_BUILT_FROM = "_gold_built_from"
@@ -111,7 +112,7 @@ def load_silver(spark: SparkSession, config: Config, result: Result | None, at:
 
 def _stage(spark: SparkSession, config: Config, batch: DataFrame, result: Result) -> DataFrame:
     """Typed rows of the batch, read back from the one write that also keeps the rejects and takes the counts."""
-    parsed = parse(batch, mortality.SPEC, config.typed_json, filters_follow=False)
+    parsed = parse(spread(batch), mortality.SPEC, config.typed_json, filters_follow=False)
     if config.null_jurisdiction == "reject":
         missing = F.col(REASON).isNull() & F.col("jurisdiction").isNull()
         parsed = parsed.withColumn(REASON, F.when(missing, "no_jurisdiction").otherwise(F.col(REASON)))

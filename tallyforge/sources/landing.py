@@ -48,6 +48,16 @@ def field(key: str, raw: str = "raw_data") -> Column:
     return F.get_json_object(raw, f"$.{key}")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows on at least as many partitions as the session has cores.
+
+    A small input in one file is one task, however costly its parsing. An input of more splits than cores, as any
+    large one is, stays as it is and is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def page(records: DataFrame, order_by: list[str], offset: int = 0, limit: int | None = None) -> DataFrame:
     """One page of the source in a fixed order. Without a limit and an offset nothing is sorted or dropped."""
     if limit is None and offset == 0:

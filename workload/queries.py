@@ -100,11 +100,9 @@ def latest_batch(spark, sf_dir):
 
 def _status_batches(spark, sf_dir) -> DataFrame:
     folder = work_folder(spark, "latest_batch")
-    orders = shapes.table(spark, sf_dir, "orders")
-    for day, (status, batch_id) in enumerate(STATUS_BATCHES.items()):
-        texts = orders.filter(F.col("o_orderstatus") == status).selectExpr(*[f"{e} AS {n}" for n, e in shapes.ORDER_FIELDS.items()])
-        raw = texts.select(F.to_json(F.struct(*texts.columns)).alias("raw_data"))
-        bronze.append(raw, f"{folder}/bronze", "orders", batch_id, shapes.EARLIER_TS.replace(day=day + 1))
+    for day, (status, batch_id) in enumerate(STATUS_BATCHES.items(), start=1):
+        raw = shapes.order_raw(spark, sf_dir, f"o_orderstatus = '{status}'")
+        bronze.append(raw, f"{folder}/bronze", "orders", batch_id, shapes.EARLIER_TS.replace(day=day))
     return bronze.read(spark, f"{folder}/bronze")
 
 

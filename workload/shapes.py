@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.plans import mortality
+from tallyforge.sources.landing import spread
 
 RUN_TS = datetime(2002, 2, 1, tzinfo=timezone.utc)
 EARLIER_TS = datetime(2002, 1, 1, tzinfo=timezone.utc)
@@ -149,14 +150,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_records(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """All texts of every order's record, one column each."""
-    return table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {n}" for n, e in ORDER_FIELDS.items()])
+    orders = spread(table(spark, sf_dir, "orders").filter(where))
+    return orders.selectExpr(*[f"{e} AS {n}" for n, e in ORDER_FIELDS.items()])
 
 
-def order_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_raw(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """One JSON text per order, column `raw_data`; keys without a value are absent."""
-    records = order_records(spark, sf_dir)
+    records = order_records(spark, sf_dir, where)
     return records.select(F.to_json(F.struct(*records.columns)).alias("raw_data"))
 
 
