@@ -41,15 +41,18 @@ def merge(
     run_ts: datetime | None = None,
     on_duplicate: str = "error",
     order: Sequence[Column | str] = (),
+    small_source: bool = False,
 ) -> DataFrame:
     """Target after the upsert.
 
     Matched rows take the `update` columns (default: all but the keys) from the source and keep the others;
     source rows without a match are added; target rows without a match stay. `loaded_at`, if the target has it,
     is `run_ts` on every row the source touched. A key repeated in the source raises, or with
-    on_duplicate="last" its greatest row by `order` counts.
+    on_duplicate="last" its greatest row by `order` counts. Target keys are unique, as every merge leaves them.
+
+    Both sides are shuffled by key. With small_source=True, for a source whose counted rows fit in memory many
+    times over, the source is broadcast instead and the target stays in its partitions.
     """
-    stamped = LOADED_AT in target.columns
     columns = [c for c in target.columns if c not in keys and c != LOADED_AT]
     update = columns if update is None else list(update)
     source = source.select(*keys, *columns)
@@ -62,19 +65,30 @@ def merge(
 
     old = target.withColumn("_old", F.lit(True)).alias("old")
     new = source.withColumn("_new", F.lit(True)).alias("new")
-    both = old.join(new, list(keys), "full_outer")
+    now = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    picked = _picked(target.columns, keys, update, now)
+    if not small_source:
+        return old.join(new, list(keys), "full_outer").select(*picked)
+    kept_or_updated = old.join(F.broadcast(new), list(keys), "left").select(*picked)
+    matched = target.select(*keys).join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+    added = source.join(F.broadcast(matched), list(keys), "left_anti")
+    if LOADED_AT in target.columns:
+        added = added.withColumn(LOADED_AT, now)
+    return kept_or_updated.unionByName(added.select(*target.columns))
+
+
+def _picked(names: Sequence[str], keys: Sequence[str], update: Sequence[str], now: Column) -> list[Column]:
+    """Columns of the upserted row out of `old` and `new`, whose marks tell which of them exist."""
     from_new, from_old = F.col("_new").isNotNull(), F.col("_old").isNotNull()
 
     def pick(name: str) -> Column:
         if name in keys:
             return F.col(name)
         if name == LOADED_AT:
-            now = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
             return F.when(from_new, now).otherwise(F.col(f"old.{name}")).alias(name)
         old_value, new_value = F.col(f"old.{name}"), F.col(f"new.{name}")
         if name in update:
             return F.when(from_new, new_value).otherwise(old_value).alias(name)
         return F.when(from_old, old_value).otherwise(new_value).alias(name)
 
-    names = [c for c in target.columns if c != LOADED_AT] + ([LOADED_AT] if stamped else [])
-    return both.select(*[pick(c) for c in names])
+    return [pick(c) for c in names]

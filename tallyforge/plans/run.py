@@ -21,6 +21,7 @@ from tallyforge.sources.versions import TableSet, by_value, new_run
 
 GOLD_BUILT_FROM = "_gold_built_from"
 MOST_FOLDERS = 10000
+SMALL_BATCH = 100_000  # rows of a batch that is broadcast: some tens of megabytes
 
 
 @dataclass
@@ -81,12 +82,14 @@ def ingest(spark: SparkSession, config: Config, landed: Callable[[], DataFrame],
 def load_silver(spark: SparkSession, config: Config, result: Result | None, at: datetime) -> Result:
     """Parse the latest batch once into a staged table, then upsert the years it touches.
 
-    Untouched years are neither read nor written.
+    Untouched years are neither read nor written. A batch counted as small is broadcast, so that the touched years
+    are rewritten without a shuffle.
     """
     raw = bronze.read(spark, f"{config.root}/bronze")
-    known = result.batch_id if result and result.inserted else None
-    result = result or Result(batch_id="")
-    staged = _stage(spark, config, bronze.latest_batch(raw, known), result)
+    newest = result.batch_id if result and result.inserted else bronze.known_latest(raw)
+    result = result or Result(batch_id=newest)
+    staged = _stage(spark, config, bronze.latest_batch(raw, newest), result)
+    small = result.transformed <= SMALL_BATCH
 
     years = _values(staged, "year")
     tables = TableSet(spark, config.root)
@@ -102,9 +105,10 @@ def load_silver(spark: SparkSession, config: Config, result: Result | None, at:
         run_ts=at,
         on_duplicate=config.on_duplicate,
         order=config.duplicate_order,
+        small_source=small,
     )
     if years:
-        folders = tables.write(mortality.SILVER, merged, years, new_run())
+        folders = tables.write(mortality.SILVER, merged, years, new_run(), in_place=small and bool(current))
         tables.publish({mortality.SILVER.name: folders}, at)
     result.upserted, result.silver_years = result.transformed, years
     return result

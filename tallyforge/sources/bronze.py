@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.sources.versions import one_row
+
 BRONZE_SCHEMA = T.StructType(
     [
         T.StructField("raw_data", T.StringType(), False),
@@ -27,6 +29,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("finished_at", T.TimestampType()),
     ]
 )
+EMPTY = "the raw table is empty; ingest a batch first"
 SUCCESS, FAILED = "success", "failed"
 
 
@@ -53,6 +56,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE_SCHEMA).parquet(path)
 
 
+def known_latest(bronze: DataFrame) -> str:
+    """The newest batch's id, fetched. An empty table raises."""
+    newest = latest_batch_id(bronze).first().batch_id
+    if newest is None:
+        raise ValueError(EMPTY)
+    return newest
+
+
 def latest_batch_id(bronze: DataFrame) -> DataFrame:
     """One row, `batch_id` of the newest batch; equal times are decided by the greater id. Reads two narrow columns."""
     newest = F.max_by("batch_id", F.struct("ingested_at", "batch_id"))
@@ -67,7 +78,7 @@ def latest_batch(bronze: DataFrame, batch_id: str | None = None) -> DataFrame:
     """
     if batch_id is not None:
         return bronze.filter(F.col("batch_id") == batch_id)
-    empty = F.raise_error(F.lit("the raw table is empty; ingest a batch first"))
+    empty = F.raise_error(F.lit(EMPTY))
     newest = latest_batch_id(bronze).select(F.coalesce("batch_id", empty.cast("string")))
     return bronze.filter(F.col("batch_id") == newest.scalar())
 
@@ -113,4 +124,5 @@ def log_run(
 ) -> None:
     """Append one audit row, in a write of its own."""
     row = (batch_id, source, status, rows, error_message, started_at, finished_at)
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    values = [F.lit(value).cast(field.dataType) for value, field in zip(row, AUDIT_SCHEMA)]
+    one_row(spark, AUDIT_SCHEMA, values).write.mode("append").parquet(path)

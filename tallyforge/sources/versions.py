@@ -7,11 +7,12 @@ become visible together.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,12 +66,15 @@ class TableSet:
         rows = self.spark.read.schema(stored).option("basePath", base).parquet(*paths)
         return rows.select(*layout.schema.names)
 
-    def write(self, layout: Layout, rows: DataFrame, values: list, run: str) -> list[str]:
+    def write(self, layout: Layout, rows: DataFrame, values: list, run: str, in_place: bool = False) -> list[str]:
         """Write the rows as new folders, one per partition value, and return the folder names.
 
         The rebalance hint lets adaptive execution split a large partition over many tasks and merge small ones.
+        in_place=True skips it, for rows that still lie as their old folders do.
         """
-        placed = rows.select(*layout.schema.names).hint("rebalance", F.col(layout.partition))
+        placed = rows.select(*layout.schema.names)
+        if not in_place:
+            placed = placed.hint("rebalance", F.col(layout.partition))
         stored = placed.withColumn("run", F.lit(run))
         stored.write.mode("append").partitionBy(layout.partition, "run").parquet(f"{self.root}/{layout.name}")
         return [f"{layout.partition}={value}/run={run}" for value in values]
@@ -83,9 +87,9 @@ class TableSet:
         version, folders = self.published()
         for name, added in changes.items():
             folders[name] = sorted({**by_value(folders.get(name, [])), **by_value(added)}.values())
-        row = (version + 1, at, {**folders, **(notes or {})})
-        log = self.spark.createDataFrame([row], PUBLISHED_SCHEMA).coalesce(1)
-        log.write.mode("append").parquet(f"{self.root}/_published")
+        named = F.from_json(F.lit(json.dumps({**folders, **(notes or {})})), "map<string, array<string>>")
+        row = [F.lit(version + 1).cast("bigint"), F.lit(at).cast("timestamp"), named]
+        one_row(self.spark, PUBLISHED_SCHEMA, row).write.mode("append").parquet(f"{self.root}/_published")
         return version + 1
 
 
@@ -94,6 +98,11 @@ def by_value(folders: list[str]) -> dict[str, str]:
     return {folder.split("/")[0].split("=", 1)[1]: folder for folder in folders}
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: list[Column]) -> DataFrame:
+    """A single row in one partition, so that appending it adds one file and is visible at once or not at all."""
+    return spark.range(1, numPartitions=1).select(*[v.alias(f.name) for v, f in zip(values, schema)])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)

@@ -96,3 +96,23 @@ def test_unique_guard_and_join_share_a_shuffle(spark, target, source):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("on_duplicate", ["error", "last"])
+def test_small_source_gives_the_same_rows(spark, target, source, on_duplicate):
+    def merged(small, update=None):
+        return merge(target, source, ["k", "y"], update, T1, on_duplicate, ["n"], small_source=small)
+
+    assert merged(True).columns == merged(False).columns
+    assert rows(merged(True)) == rows(merged(False))
+    assert rows(merged(True, ["n"])) == rows(merged(False, ["n"]))
+    empty = source.filter("n > 1000")
+    assert rows(merge(target, empty, ["k", "y"], run_ts=T1, small_source=True)) == rows(target)
+
+
+def test_small_source_leaves_the_target_in_place(spark, tmp_path, target, source):
+    target.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = merge(stored, source, ["k", "y"], run_ts=T1, small_source=True)._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("FileScan")[:-1]:
+        assert "Exchange" not in part.split("Join")[-1]
