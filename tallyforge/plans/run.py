@@ -185,3 +185,21 @@ def build_gold(spark: SparkSession, config: Config, result: Result, at: datetime
         tables.publish(folders, at, notes={GOLD_BUILT_FROM: sorted(silver_now.values())})
     result.gold_years = changed
     return result
+
+
+def published_tables(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
+    """Silver and the reporting tables as last published."""
+    tables = TableSet(spark, config.root)
+    layouts = [mortality.SILVER, *mortality.gold_layouts(config.entity).values()]
+    return {layout.name: tables.read(layout) for layout in layouts}
+
+
+def register_views(spark: SparkSession, config: Config) -> None:
+    """Temporary views `silver`, `trends`, `summary` and `impact` for SQL over the published tables."""
+    for name, rows in published_tables(spark, config).items():
+        rows.createOrReplaceTempView(name)
+
+
+def check(spark: SparkSession, config: Config) -> list:
+    """The checks over the published reporting tables; QualityError if one fails."""
+    return quality.gate(quality.report(published_tables(spark, config), config.checks))

@@ -4,9 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.__main__ import main
 from tallyforge.operators.quality import QualityError
 from tallyforge.plans import mortality as M
-from tallyforge.plans.run import Config, build_gold, load_silver, run
+from tallyforge.plans.run import Config, build_gold, load_silver, register_views, run
 from tallyforge.sources import bronze, landing
 from tallyforge.sources.versions import TableSet, path_exists
 from tallyforge.streaming.landing_stream import ingest_new_files
@@ -179,6 +180,19 @@ def test_all_records_unusable(spark, config):
     assert table(spark, config, "silver").count() == 0
 
 
+def test_stages_from_the_command_line(spark, folder, capsys):
+    lines = [(json.dumps(r),) for r in [*years(2018), *years(2019, 2020)]]
+    spark.createDataFrame(lines, "value string").write.text(f"{folder}/landing")
+    place = ["--root", f"{folder}/tables"]
+    for stage in (["ingest", "--landing", f"{folder}/landing"], ["silver"], ["gold"], ["check"]):
+        assert main([*stage, *place]) == 0
+    printed = capsys.readouterr().out
+    assert printed.count("PASS") == 30 and "transformed=24" in printed, "2018 is before the first year"
+    register_views(spark, Config(f"{folder}/tables", "", ""))
+    assert spark.sql("SELECT count(*) n FROM trends JOIN impact USING (year, month)").first().n == 24
+    assert main(["check", *place, "--high", "200001"]) == 1
+
+
 # --- raw table and landing ------------------------------------------------------------------------------------
 
 

@@ -221,7 +221,7 @@ def cause_summary_by_entity(spark, sf_dir):
 
 @query
 def prior_year_impact(spark, sf_dir):
-    return mortality.impact(shapes.supplier_months(spark, sf_dir), ENTITY)
+    return reporting.prior_year_join(shapes.supplier_months(spark, sf_dir), ENTITY, "all_cause", "covid_19_underlying")
 
 
 @query
@@ -314,14 +314,12 @@ def scalar_batch_id(spark, sf_dir):
 # --- checks ---------------------------------------------------------------------------------------------------
 
 
-def _planted(spark, sf_dir, name: str) -> DataFrame:
-    months = shapes.supplier_months(spark, sf_dir)
+def _planted(months: DataFrame, name: str) -> DataFrame:
     if name == "trends":
         return planted.plant(mortality.trends(months, ENTITY), planted.TRENDS)
     if name == "summary":
         return planted.plant(mortality.summary(months, ENTITY), planted.SUMMARY)
-    window = reporting.prior_year_window(months, ENTITY, "all_cause", "covid_19_underlying")
-    return planted.plant(window, planted.IMPACT)
+    return planted.plant(mortality.impact(months, ENTITY), planted.IMPACT)
 
 
 def supplier_checks() -> list[quality.Check]:
@@ -329,7 +327,11 @@ def supplier_checks() -> list[quality.Check]:
 
 
 def _check_query(check: quality.Check) -> Query:
-    return lambda spark, sf_dir: quality.report({check.table: _planted(spark, sf_dir, check.table)}, [check])
+    def checked(spark, sf_dir):
+        rows = _planted(shapes.supplier_months(spark, sf_dir), check.table)
+        return quality.report({check.table: rows}, [check])
+
+    return checked
 
 
 QUERIES.update({f"dq_{check.name}": _check_query(check) for check in supplier_checks()})
@@ -339,22 +341,24 @@ QUERIES.update({f"dq_{check.name}": _check_query(check) for check in supplier_ch
 def dq_report(spark, sf_dir):
     """All fifteen checks over written tables, as they run before a publication."""
     folder = work_folder(spark, "dq_report")
-    tables = {}
-    for name in ("trends", "summary", "impact"):
-        rows = _planted(spark, sf_dir, name)
+
+    def stored(name: str, rows: DataFrame) -> DataFrame:
         rows.write.parquet(f"{folder}/{name}")
-        tables[name] = spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    months = stored("silver", shapes.supplier_months(spark, sf_dir))
+    tables = {name: stored(name, _planted(months, name)) for name in ("trends", "summary", "impact")}
     return quality.report(tables, supplier_checks())
 
 
 @query
 def dq_failing_groups(spark, sf_dir):
     """The groups behind the two size checks."""
-    wanted = {"trends_full_years": "trends", "summary_group_size": "summary"}
+    months = shapes.supplier_months(spark, sf_dir)
     parts = []
     for check in supplier_checks():
-        if check.name in wanted:
-            groups = quality.failing_groups(_planted(spark, sf_dir, wanted[check.name]), check)
+        if isinstance(check, (quality.FullGroups, quality.GroupSize)):
+            groups = quality.failing_groups(_planted(months, check.table), check)
             parts.append(groups.select(F.lit(check.name).alias("check_name"), *check.group, "row_count"))
     return parts[0].unionByName(parts[1])
 
