@@ -17,7 +17,7 @@ from tallyforge.operators.upsert import merge
 from tallyforge.plans import mortality
 from tallyforge.sources import bronze
 from tallyforge.sources.landing import spread
-from tallyforge.sources.versions import TableSet, by_value, new_run
+from tallyforge.sources.versions import TableSet, by_value, new_run, remove_path
 
 GOLD_BUILT_FROM = "_gold_built_from"
 MOST_FOLDERS = 10000
@@ -88,7 +88,8 @@ def load_silver(spark: SparkSession, config: Config, result: Result | None, at:
     raw = bronze.read(spark, f"{config.root}/bronze")
     newest = result.batch_id if result and result.inserted else bronze.known_latest(raw)
     result = result or Result(batch_id=newest)
-    staged = _stage(spark, config, bronze.latest_batch(raw, newest), result)
+    path = f"{config.root}/staged/run={new_run()}"
+    staged = _stage(spark, config, bronze.latest_batch(raw, newest), result, path)
     small = result.transformed <= SMALL_BATCH
 
     years = _values(staged, "year")
@@ -110,11 +111,12 @@ def load_silver(spark: SparkSession, config: Config, result: Result | None, at:
     if years:
         folders = tables.write(mortality.SILVER, merged, years, new_run(), in_place=small and bool(current))
         tables.publish({mortality.SILVER.name: folders}, at)
+    remove_path(spark, f"{path}/usable=true")  # now in silver; the rejects stay
     result.upserted, result.silver_years = result.transformed, years
     return result
 
 
-def _stage(spark: SparkSession, config: Config, batch: DataFrame, result: Result) -> DataFrame:
+def _stage(spark: SparkSession, config: Config, batch: DataFrame, result: Result, path: str) -> DataFrame:
     """Typed rows of the batch, read back from the one write that also keeps the rejects and takes the counts."""
     parsed = parse(spread(batch), mortality.SPEC, config.typed_json, filters_follow=False)
     if config.null_jurisdiction == "reject":
@@ -123,7 +125,6 @@ def _stage(spark: SparkSession, config: Config, batch: DataFrame, result: Result
     usable = F.col(REASON).isNull()
     seen = Observation("parse")
     counted = parsed.observe(seen, F.count(F.lit(1)).alias("received"), F.count_if(usable).alias("usable"))
-    path = f"{config.root}/staged/run={new_run()}"
     text_if_rejected = F.when(~usable, F.col("raw_data")).alias("raw_data")
     columns = [text_if_rejected, *mortality.SPEC.columns(), REASON, usable.alias("usable")]
     placed = counted.select(*columns)

@@ -93,6 +93,25 @@ class TableSet:
         return version + 1
 
 
+    def expire(self, keep: int = 3) -> list[str]:
+        """Delete the folders that only publications older than the newest `keep` name, and return them.
+
+        Folders never published, such as those of a run still going on, are not touched. Readers that opened a
+        table that many publications ago must be done.
+        """
+        path = f"{self.root}/_published"
+        if keep < 1 or not path_exists(self.spark, path):
+            return []
+        log = self.spark.read.schema(PUBLISHED_SCHEMA).parquet(path)
+        lists = log.select("version", F.explode("folders").alias("name", "entries")).filter(~F.col("name").startswith("_"))
+        single = lists.select("version", "name", F.explode("entries").alias("entry"))
+        folders = single.select("version", F.concat_ws("/", "name", "entry").alias("folder"))
+        last_named = folders.groupBy("folder").agg(F.max("version").alias("version"))
+        oldest_kept = self.published()[0] - keep + 1
+        expired = [r.folder for r in last_named.filter(F.col("version") < oldest_kept).collect()]
+        return [folder for folder in sorted(expired) if remove_path(self.spark, f"{self.root}/{folder}")]
+
+
 def by_value(folders: list[str]) -> dict[str, str]:
     """Folders by partition value (as text)."""
     return {folder.split("/")[0].split("=", 1)[1]: folder for folder in folders}
@@ -103,9 +122,20 @@ def one_row(spark: SparkSession, schema: T.StructType, values: list[Column]) ->
     return spark.range(1, numPartitions=1).select(*[v.alias(f.name) for v, f in zip(values, schema)])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str):
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _located(spark, path)
+    return files.exists(location)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with its content; False if there was none."""
+    files, location = _located(spark, path)
+    return files.delete(location, True)
 
 
 def new_run() -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.sources import bronze
@@ -29,11 +29,13 @@ def ingest_new_files(
     def write(records: DataFrame, epoch: int) -> None:
         at = run_ts or datetime.now(timezone.utc)
         batch_id = f"{batch_prefix}{epoch:010d}"
+        seen = Observation(f"append {batch_id}")
         stamped = bronze.stamp(records, source_url, batch_id, at).drop("batch_id")
-        stamped.write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
+        counted = stamped.observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
+        added.append(seen.get["n"])
 
     texts = spark.readStream.text(landing).select(F.col("value").alias("raw_data")).filter(F.trim("raw_data") != "")
     started = texts.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start()
     started.awaitTermination()
-    added = [p["numInputRows"] for p in started.recentProgress]
     return sum(added)

@@ -95,6 +95,19 @@ def test_revision_touches_its_years_only(spark, config):
     assert impact[(2020, 1)] == 99999 and impact[(2021, 1)] == -99999 and impact[(2022, 1)] == 0
 
 
+def test_expired_folders_are_deleted(spark, config):
+    for at in DAYS[:3]:
+        run(spark, config, landed(spark, years(2019, 2020)), at)
+    names = ("silver", "trends", "summary", "impact")
+    before = {n: rows(table(spark, config, n)) for n in names}
+    tables = TableSet(spark, config.root)
+    gone = tables.expire(keep=3)
+    assert len(gone) == 8 and all(not path_exists(spark, f"{config.root}/{folder}") for folder in gone)
+    assert {folder.split("/")[0] for folder in gone} == set(names)
+    assert tables.expire(keep=3) == [] and before == {n: rows(table(spark, config, n)) for n in names}
+    assert not path_exists(spark, f"{config.root}/never") and tables.published()[0] == 6
+
+
 def test_incremental_equals_rebuilt(spark, config):
     run(spark, config, landed(spark, years(2019, 2020, 2021)), DAYS[0])
     run(spark, config, landed(spark, years(2020, total=250000)), DAYS[1])
