@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.llm.bitmask_language import bitmask_language
 from tallyforge.llm.chunk_bpe import chunk_bpe
 from tallyforge.llm.common import table
 from tallyforge.llm.dictionary_ids import dictionary_ids
 from tallyforge.llm.feistel_shards import feistel_shards
 from tallyforge.llm.line_quality import line_quality
+from tallyforge.llm.parity_join import parity_join
+from tallyforge.llm.random_secrets import random_secrets
 from tallyforge.llm.tier_packing import tier_packing
+from tallyforge.llm.weak_toxicity import weak_toxicity
 from tallyforge.session import work_folder
 
 
@@ -33,5 +37,35 @@ def op7_dictionary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dictionary_ids(table(spark, sf_dir, "documents", "doc_id", "text"), work_folder(spark, "ids"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_quality, op2_tier_packing, op3_chunk_bpe, op5_feistel_shards, op7_dictionary_ids)}
+def op4_random_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return random_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_bitmask_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmask_language(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return weak_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_quality,
+        op2_tier_packing,
+        op3_chunk_bpe,
+        op4_random_secrets,
+        op5_feistel_shards,
+        op6_bitmask_language,
+        op7_dictionary_ids,
+        op9_parity_join,
+        op10_weak_toxicity,
+    )
+}
 ORACLES: dict[str, str] = {}
