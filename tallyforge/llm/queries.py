@@ -9,6 +9,7 @@ from tallyforge.llm.chunk_bpe import chunk_bpe
 from tallyforge.llm.common import table
 from tallyforge.llm.dictionary_ids import dictionary_ids
 from tallyforge.llm.feistel_shards import feistel_shards
+from tallyforge.llm.itq_neighbours import itq_neighbours
 from tallyforge.llm.line_quality import line_quality
 from tallyforge.llm.parity_join import parity_join
 from tallyforge.llm.random_secrets import random_secrets
@@ -45,6 +46,10 @@ def op6_bitmask_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitmask_language(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_itq_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -64,6 +69,7 @@ QUERIES = {
         op5_feistel_shards,
         op6_bitmask_language,
         op7_dictionary_ids,
+        op8_itq_neighbours,
         op9_parity_join,
         op10_weak_toxicity,
     )
