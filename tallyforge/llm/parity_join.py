@@ -7,8 +7,9 @@ one part that is not empty, and meet there. A second sketch flips one bit per sh
 sketches is at most the symmetric difference, so pairs that are farther apart are dropped unseen. The rest is verified
 with the shingles themselves.
 
-Only what joins components is compared. First every document of a shared part meets the least one there; then, in parts
-whose documents are still in several components, all pairs across components do.
+Only what joins components is compared. First every document meets the least one that shares a part with it, and the one
+of those least ones that shares most; then, in parts whose documents are still in several components, all pairs across
+components meet.
 """
 
 from __future__ import annotations
@@ -121,8 +122,8 @@ def part_keys(hashes: np.ndarray, join: Join) -> np.ndarray:
 
 
 def sketch_of(hashes: np.ndarray) -> bytes:
-    """One bit per shingle flipped, in a power of two of bits, at least twice as many as shingles."""
-    bits = 1 << max(6, (2 * len(hashes) - 1).bit_length())
+    """One bit per shingle flipped, in a power of two of bits, at least four times as many as shingles."""
+    bits = 1 << max(6, (4 * len(hashes) - 1).bit_length())
     flips = np.bincount((mixed(hashes + _U(7)) & _U(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(flips & 1).tobytes()
 
@@ -144,6 +145,12 @@ def record(what: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([a, pa.array([what] * n, pa.int32()), x, y, *empty], [f.split()[0] for f in PACKED.split(", ")])
 
 
+def star(nodes: np.ndarray, leaders: np.ndarray) -> tuple[bytes, bytes]:
+    """Distinct pairs: the nodes; the leaders, and after them how many parts each pair shares."""
+    pairs, counts = np.unique(np.stack([nodes, leaders]), axis=1, return_counts=True)
+    return pairs[0].tobytes(), pairs[1].tobytes() + counts.astype("<u8").tobytes()
+
+
 def handed_over(keys: list[np.ndarray], nodes: list[int], n_slices: int, beyond: int) -> Iterator[pa.RecordBatch]:
     """Keys of some documents by slice, and apart from them the documents of keys that are hot among them.
 
@@ -162,8 +169,7 @@ def handed_over(keys: list[np.ndarray], nodes: list[int], n_slices: int, beyond:
         lead = leader[np.concatenate([rest, np.unique(leader[rest])])]
         members = np.concatenate([rest, np.unique(leader[rest])])
         yield record(MEMBERS, [(beyond, (key[lead] >> _U(1)).tobytes(), table[owner[members]].tobytes())])
-        pairs = np.unique(np.stack([table[owner[rest]], table[owner[leader[rest]]]]), axis=1)
-        yield record(PAIRS, [(beyond, pairs[0].tobytes(), pairs[1].tobytes())])
+        yield record(PAIRS, [(beyond, *star(table[owner[rest]], table[owner[leader[rest]]]))])
     keep = ~hot | (np.arange(len(key)) == leader)
     key, owner = key[keep], owner[keep]
     place = (((key >> _U(32)) * _U(n_slices)) >> _U(32)).astype(np.int64)
@@ -231,24 +237,23 @@ def met_in_slices(rows: DataFrame, n_slices: int) -> DataFrame:
         k, v, least = k[many], v[many], v[np.repeat(first, counts)[many]]
         out = [others]
         if len(k):
-            star = v != least
-            pairs = np.unique(np.stack([v[star], least[star]]), axis=1)
-            full = k | _U(slice_ << 32)
-            made = [record(MEMBERS, [(slice_, full.tobytes(), v.tobytes())]), record(PAIRS, [(slice_, pairs[0].tobytes(), pairs[1].tobytes())])]
+            full, others_ = k | _U(slice_ << 32), v != least
+            made = [record(MEMBERS, [(slice_, full.tobytes(), v.tobytes())]), record(PAIRS, [(slice_, *star(v[others_], least[others_]))])]
             out.append(pa.Table.from_batches(made).cast(part.schema))
         return pa.concat_tables(out)
 
     return rows.groupBy("slice").applyInArrow(meet, PACKED)
 
 
-def unpacked(rows: DataFrame, what: int, names: tuple[str, str]) -> DataFrame:
+def unpacked(rows: DataFrame, what: int, names: tuple[str, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             x, y = (np.frombuffer(part.column(c)[0].as_py(), np.int64) for c in ("x", "y"))
+            columns = [x, *y.reshape(-1, len(x))] if len(x) else []
             for start in range(0, len(x), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[start : start + 50_000]), pa.array(y[start : start + 50_000])], list(names))
+                yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 50_000]) for c in columns], list(names))
 
-    return rows.filter(F.col("what") == what).select("x", "y").mapInArrow(run, f"{names[0]} bigint, {names[1]} bigint")
+    return rows.filter(F.col("what") == what).select("x", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 def near_enough(pairs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
@@ -300,34 +305,41 @@ def across_components(members: DataFrame, labels: DataFrame, nodes: DataFrame, j
     mixed_keys = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed_keys = mixed_keys.filter("low < high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = labelled.join(mixed_keys, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    rows = rows.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(16 * tasks(spark)))).otherwise(F.xxhash64("key", "i", "j")))
+    bin_ = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(tasks(spark)))).otherwise(F.xxhash64("key", "i", "j"))
+    rows = rows.withColumn("bin", bin_).groupBy("bin", "i", "j", "own", "node", "component").agg(F.collect_list("key").alias("keys"))
+    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
 
     def compare(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")])
-        key, i, j, own, node, component, n = (part.column(c).to_numpy() for c in ("key", "i", "j", "own", "node", "component", "n"))
-        sketch = part.column("sketch").to_pylist()
-        change = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        bounds = [0, *change.tolist(), len(key)]
+        part = part.sort_by([("node", "ascending")])
+        i, j, own, node, component, n = (part.column(c).to_numpy() for c in ("i", "j", "own", "node", "component", "n"))
+        sketch, lists = part.column("sketch").to_pylist(), part.column("keys").combine_chunks()
+        key = lists.flatten().to_numpy()
+        row = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy()))
+        order = np.lexsort((row, key))
+        key, row = key[order], row[order]
+        bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
         xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for low, high in zip(bounds, bounds[1:]):
-            size = min(len(s) for s in sketch[low:high])
-            table = np.stack([folded(s, size) for s in sketch[low:high]])
-            for row in range(low, high - 1):
-                later = slice(row + 1, high)
-                open_ = (component[later] != component[row]) & ((i[row] == j[row]) | (own[later] != own[row]))
-                if open_.any():
-                    apart = np.bitwise_count(table[row - low + 1 :][open_] ^ table[row - low]).sum(axis=1)
-                    most = (n[later][open_] + n[row]) * (100 - join.percent) // (100 + join.percent)
-                    hits = node[later][open_][apart <= most]
-                    xs.append(np.full(len(hits), node[row]))
+            at = row[low:high]
+            if len(at) < 2 or (component[at] == component[at[0]]).all():
+                continue
+            size = min(len(sketch[r]) for r in at)
+            sketches = np.stack([folded(sketch[r], size) for r in at])
+            for k, r in enumerate(at[:-1].tolist()):
+                later = at[k + 1 :]
+                across = (component[later] != component[r]) & ((i[r] == j[r]) | (own[later] != own[r]))
+                if across.any():
+                    apart = np.bitwise_count(sketches[k + 1 :][across] ^ sketches[k]).sum(axis=1)
+                    most = (n[later][across] + n[r]) * (100 - join.percent) // (100 + join.percent)
+                    hits = node[later][across][apart <= most]
+                    xs.append(np.full(len(hits), node[r]))
                     ys.append(hits)
         pairs = np.unique(np.stack([np.concatenate(ys), np.concatenate(xs)]), axis=1)
         return pa.table({"x": pa.array(pairs[0], pa.int64()), "y": pa.array(pairs[1], pa.int64())})
 
-    columns = ["bin", "key", "i", "j", "own", "node", "component", "n", "sketch"]
+    columns = ["bin", "keys", "i", "j", "own", "node", "component", "n", "sketch"]
     return rows.select(*columns).groupBy("bin").applyInArrow(compare, "x bigint, y bigint").distinct()
 
 
@@ -343,11 +355,13 @@ def parity_join(documents: DataFrame, join: Join = Join()) -> DataFrame:
     n_slices = tasks(spark)
     met = written(met_in_slices(packed(documents, join, n_slices), n_slices), "parity")
     docs = met.filter(F.col("what") == DOCUMENTS).select("doc_id", "n", "node", "sketch")
-    members, stars = unpacked(met, MEMBERS, ("key", "node")).distinct(), unpacked(met, PAIRS, ("x", "y")).distinct()
+    members = unpacked(met, MEMBERS, ("key", "node")).distinct()
+    stars = unpacked(met, PAIRS, ("x", "y", "shared")).groupBy("x", "y").agg(F.sum("shared").alias("shared"))
+    best = stars.groupBy("x").agg(F.array_distinct(F.array(F.min("y"), F.max_by("y", F.struct("shared", "y")))).alias("y"))
+    best = best.select("x", F.explode("y").alias("y"))
     nodes = docs.filter("node IS NOT NULL").groupBy("node").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"))
-    members = members.filter("node IS NOT NULL")
 
-    near = written(near_enough(stars, nodes, join).groupBy("x").agg(F.min("y").alias("y")), "near")
+    near = written(near_enough(best, nodes, join), "near")
     links = written(verified(near, docs, documents, join), "links")
     labels = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "labels")
     across = written(across_components(members, labels, nodes, join), "across")
