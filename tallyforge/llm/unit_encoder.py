@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Units that a task keeps; when full, it starts anew. Bounds memory only, ids are the same.
-MOST_UNITS = 1_200_000
+MOST_UNITS = 600_000
 #: A unit longer than this is encoded each time that it occurs.
 LONGEST_KEPT = 64
 #: Units sent to the library at a time.
