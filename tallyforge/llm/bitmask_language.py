@@ -21,7 +21,7 @@ UNKNOWN = "und"
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, rate double, runner_up string"
 SEPARATOR, SPACE = 0, 32
 #: Slices of the texts are cut again where they hold more characters than this.
-MOST_CHARS = 2_000_000
+MOST_CHARS = 500_000
 
 
 @dataclass(frozen=True)
