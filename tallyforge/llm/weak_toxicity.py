@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 #: Kinds of features: 0 is the whole word, k its first k letters where it is longer.
 KINDS = (0, 4, 5, 6, 7, 8)
 #: Words whose weights a task keeps; when full it starts anew.
-MOST_WORDS = 500_000
+MOST_WORDS = 200_000
 PATTERNS = (
     ("shouting", lambda text, words: sum(map(str.isupper, text)) > 0.5 * sum(map(str.isalpha, text)), 1),
     ("exclaiming", lambda text, words: 10 * text.count("!") > len(words), 1),
@@ -42,7 +42,7 @@ class Supervision:
     A feature is mined if its log-likelihood ratio reaches `least_evidence`; voters are told apart by `precisions`.
     """
 
-    sample_per_class: int = 2500
+    sample_per_class: int = 1500
     least_evidence: float = 9.0
     precisions: tuple[float, ...] = (0.97, 0.85)
     rounds: int = 30
@@ -120,10 +120,10 @@ def sample_of(documents: DataFrame, labels: DataFrame, how: Supervision) -> Samp
     rows = map_slices(texts, hashed, "toxic boolean, ids binary, counts binary, patterns array<boolean>, signature bigint").collect()
     if {r["toxic"] for r in rows} != {True, False}:
         return None
-    rows.sort(key=lambda r: (r["signature"], bytes(r["ids"])))
+    rows.sort(key=lambda r: (r["signature"], r["ids"]))
     ids = [np.frombuffer(r["ids"], np.uint32) for r in rows]
     return Sample(
-        doc=np.repeat(np.arange(len(rows)), [len(x) for x in ids]),
+        doc=np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in ids]),
         feature=np.concatenate(ids),
         count=np.concatenate([np.frombuffer(r["counts"], np.uint16) for r in rows]),
         patterns=np.array([r["patterns"] for r in rows], bool).reshape(len(rows), len(PATTERNS)),
@@ -138,15 +138,23 @@ def mine(sample: Sample, how: Supervision) -> tuple[np.ndarray, np.ndarray]:
 
     Copies of one document (equal signatures) count once.
     """
-    pairs = np.unique(np.stack([sample.group[sample.doc], sample.feature.astype(np.int64), sample.toxic[sample.doc]]), axis=1)
-    names, at = np.unique(pairs[1], return_inverse=True)
-    toxic, clean = (np.bincount(at[pairs[2] == c], minlength=len(names)).astype(float) for c in (1, 0))
+    per_class = (sample.group * 2 + sample.toxic).astype(np.int64)
+    pairs = np.unique(per_class[sample.doc] << 32 | sample.feature)
+    names, at = np.unique((pairs & 0xFFFFFFFF).astype(np.uint32), return_inverse=True)
+    is_toxic = (pairs >> 32 & 1).astype(bool)
+    toxic, clean = (np.bincount(at[is_toxic == c], minlength=len(names)).astype(float) for c in (True, False))
     n_toxic, n_clean = (len(np.unique(sample.group[sample.toxic == c])) for c in (True, False))
     p, q = (toxic + 0.25) / (n_toxic + 0.5), (clean + 0.25) / (n_clean + 0.5)
     both = (toxic + clean + 0.5) / (n_toxic + n_clean + 1)
     evidence = 2 * (toxic * np.log(p / both) + clean * np.log(q / both))
     chosen = (toxic >= 3) & (p > q) & (evidence >= how.least_evidence)
-    return names[chosen].astype(np.uint32), (p / (p + q))[chosen]
+    return names[chosen], (p / (p + q))[chosen]
+
+
+def only(sample: Sample, mined: np.ndarray) -> Sample:
+    """The sample without the features that were not mined."""
+    kept = np.isin(sample.feature, mined)
+    return replace(sample, doc=sample.doc[kept], feature=sample.feature[kept], count=sample.count[kept])
 
 
 def votes_of(sample: Sample, mined: np.ndarray, precision: np.ndarray, how: Supervision) -> np.ndarray:
@@ -206,6 +214,7 @@ def fit(sample: Sample | None, how: Supervision = Supervision()) -> Classifier:
         half = how.threshold / 2
         return Classifier(intercept=float(np.log(half / (1 - half))))
     mined, precision = mine(sample, how)
+    sample = only(sample, mined)
     votes = votes_of(sample, mined, precision, how)
     posterior, _, _ = label_model(votes, np.where(sample.toxic, 0.95, 0.05), float(sample.toxic.mean()), how.rounds)
     names = np.sort(mined)
