@@ -298,16 +298,17 @@ def verified(pairs: DataFrame, docs: DataFrame, documents: DataFrame, join: Join
 def across_components(members: DataFrame, labels: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     """Pairs of different components that share a part and whose sketches are near enough.
 
-    Parts with many documents are compared block by block, each pair of blocks in its own group.
+    Parts with many documents are compared block by block, each pair of blocks in its own group. Parts with the same least
+    node go to the same bin: what documents share, they mostly share in several parts, so a bin needs each sketch once.
     """
     spark = members.sparkSession
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_keys = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed_keys = mixed_keys.filter("low < high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    mixed_keys = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("leader"))
+    mixed_keys = mixed_keys.filter("low < high").select("key", "leader", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = labelled.join(mixed_keys, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    bin_ = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(tasks(spark)))).otherwise(F.xxhash64("key", "i", "j"))
+    bin_ = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("leader"), F.lit(tasks(spark)))).otherwise(F.xxhash64("leader", "blocks", "i", "j"))
     rows = rows.withColumn("bin", bin_).groupBy("bin", "i", "j", "own", "node", "component").agg(F.collect_list("key").alias("keys"))
     rows = rows.join(nodes.select("node", "n", "sketch"), "node")
 
