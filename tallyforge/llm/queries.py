@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.llm.bitmask_language import bitmask_language
 from tallyforge.llm.chunk_bpe import chunk_bpe
@@ -11,8 +12,10 @@ from tallyforge.llm.dictionary_ids import dictionary_ids
 from tallyforge.llm.feistel_shards import feistel_shards
 from tallyforge.llm.itq_neighbours import itq_neighbours
 from tallyforge.llm.line_quality import line_quality
+from tallyforge.llm.piece_offsets import piece_offsets
 from tallyforge.llm.parity_join import parity_join
 from tallyforge.llm.random_secrets import random_secrets
+from tallyforge.llm.target_resampling import target_resampling
 from tallyforge.llm.tier_packing import tier_packing
 from tallyforge.llm.weak_toxicity import weak_toxicity
 from tallyforge.session import work_folder
@@ -59,6 +62,17 @@ def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
 
 
+def op11_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = piece_offsets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    digests = (F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return pieces.select("doc_id", "n_tokens", *digests)
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return target_resampling(documents, table(spark, sf_dir, "benchmark", "text")).drop("n_words")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +86,8 @@ QUERIES = {
         op8_itq_neighbours,
         op9_parity_join,
         op10_weak_toxicity,
+        op11_piece_offsets,
+        op13_target_resampling,
     )
 }
 ORACLES: dict[str, str] = {}
