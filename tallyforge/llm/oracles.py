@@ -46,3 +46,35 @@ WITH words AS (
 )
 SELECT d.doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END::BIGINT AS rank FROM drawn d LEFT JOIN placed USING (doc_id)
 """
+
+OP12 = f"""
+WITH own AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS p, role, text
+  FROM (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), ids AS (
+  SELECT c, c - c % 20 AS donor, {crc32("name")} % 4 AS h FROM (SELECT DISTINCT c, hex(encode(c::VARCHAR)) AS name FROM own)
+), turns AS (
+  SELECT i.c, o.p, role, text FROM ids i JOIN own o ON o.c = i.donor AND o.p <= i.h
+  UNION ALL SELECT i.c, o.p, role, text FROM ids i JOIN own o ON o.c = i.c AND o.p > i.h
+), whole AS (
+  SELECT c, coalesce(list({{'role': role, 'text': text}} ORDER BY p) FILTER (p IS NOT NULL), []) AS s FROM ids LEFT JOIN turns USING (c) GROUP BY c
+), steps AS MATERIALIZED (
+  SELECT c, d, sha256(to_json(s[1:d])::VARCHAR) AS key, d = len(s) AS last,
+    CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(s[d].text, '[^\\x20\\x09-\\x0D]+')) END AS words
+  FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM steps GROUP BY d, key
+), path AS (SELECT s.c, s.d, n.conv_id AS node FROM steps s JOIN nodes n USING (d, key)
+), tree AS (
+  SELECT n.*, p.node AS parent_conv_id, (SELECT count(*) FROM nodes k JOIN path q ON q.c = k.conv_id AND q.d = k.d - 1 WHERE q.node = n.conv_id AND q.d = n.d) AS n_children
+  FROM nodes n LEFT JOIN path p ON p.c = n.conv_id AND p.d = n.d - 1
+), sums AS (
+  SELECT p.node AS conv_id, p.d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM tree t JOIN path p ON p.c = t.conv_id AND p.d <= t.d GROUP BY ALL
+)
+SELECT t.conv_id, t.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM tree t JOIN sums USING (conv_id, d)
+"""
+
+ORACLES = {"op12_euler_trie": OP12, "op13_target_resampling": OP13}

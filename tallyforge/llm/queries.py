@@ -9,10 +9,12 @@ from tallyforge.llm.bitmask_language import bitmask_language
 from tallyforge.llm.chunk_bpe import chunk_bpe
 from tallyforge.llm.common import table
 from tallyforge.llm.dictionary_ids import dictionary_ids
+from tallyforge.llm.euler_trie import euler_trie
 from tallyforge.llm.feistel_shards import feistel_shards
 from tallyforge.llm.itq_neighbours import itq_neighbours
 from tallyforge.llm.line_quality import line_quality
 from tallyforge.llm.piece_offsets import piece_offsets
+from tallyforge.llm.oracles import ORACLES
 from tallyforge.llm.parity_join import parity_join
 from tallyforge.llm.random_secrets import random_secrets
 from tallyforge.llm.target_resampling import target_resampling
@@ -68,6 +70,10 @@ def op11_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "n_tokens", *digests)
 
 
+def op12_euler_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return euler_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
     return target_resampling(documents, table(spark, sf_dir, "benchmark", "text")).drop("n_words")
@@ -87,7 +93,7 @@ QUERIES = {
         op9_parity_join,
         op10_weak_toxicity,
         op11_piece_offsets,
+        op12_euler_trie,
         op13_target_resampling,
     )
 }
-ORACLES: dict[str, str] = {}
