@@ -53,9 +53,14 @@ def buckets_of(text: str, scans: list[regex.Pattern], buckets: int) -> list[np.n
     return [np.fromiter([crc32(m[0]) for m in scan.finditer(line, overlapped=True)], np.uint32) % buckets for scan in scans]
 
 
+def kind(how: Resampling) -> str:
+    """Little-endian unsigned numbers just wide enough for a bucket."""
+    return "<u2" if how.buckets <= 1 << 16 else "<u4"
+
+
 def scanned(texts: DataFrame, how: Resampling) -> DataFrame:
-    """Rows of FEATURES from rows (doc_id, text): `found` holds the buckets as little-endian unsigned 32-bit numbers."""
-    scans = patterns(how.longest)
+    """Rows of FEATURES from rows (doc_id, text): `found` holds the buckets as numbers of `kind(how)`."""
+    scans, width = patterns(how.longest), kind(how)
 
     def scan(part: pa.RecordBatch) -> pa.RecordBatch:
         found = [buckets_of(text, scans, how.buckets) for text in texts_of(part)]
@@ -64,7 +69,7 @@ def scanned(texts: DataFrame, how: Resampling) -> DataFrame:
                 part.column("doc_id"),
                 pa.array([len(f[0]) for f in found], pa.int64()),
                 pa.array([sum(map(len, f)) for f in found], pa.int64()),
-                pa.array([np.concatenate(f).astype("<u4").tobytes() for f in found], pa.binary()),
+                pa.array([np.concatenate(f).astype(width).tobytes() for f in found], pa.binary()),
             ],
             ["doc_id", "n_words", "n_features", "found"],
         )
@@ -76,10 +81,10 @@ def counted(features: DataFrame, how: Resampling) -> DataFrame:
     """(bucket, n) over all rows; a task sends one row per bucket, however many n-grams it saw."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(how.buckets, np.int64)
+        total, width = np.zeros(how.buckets, np.int64), kind(how)
         for part in slices(batches):
             for found in part.column("found"):
-                total += np.bincount(np.frombuffer(found.as_py(), "<u4"), minlength=how.buckets)
+                total += np.bincount(np.frombuffer(found.as_py(), width), minlength=how.buckets)
         (seen,) = total.nonzero()
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["bucket", "n"])
 
@@ -100,11 +105,13 @@ def gains(corpus: DataFrame, target: DataFrame, how: Resampling) -> np.ndarray:
     return np.array([math.floor(1000 * math.log(x)) for x in shares], np.int64)
 
 
-def weighted(features: DataFrame, gain: np.ndarray) -> DataFrame:
+def weighted(features: DataFrame, gain: np.ndarray, how: Resampling) -> DataFrame:
     """Rows of WEIGHTS: the floored mean of the document's gains, 0 without any."""
 
+    width = kind(how)
+
     def weigh(part: pa.RecordBatch) -> pa.RecordBatch:
-        sums = [int(gain[np.frombuffer(f.as_py(), "<u4")].sum()) for f in part.column("found")]
+        sums = [int(gain[np.frombuffer(f.as_py(), width)].sum()) for f in part.column("found")]
         mean = [total // n if n else 0 for total, n in zip(sums, part.column("n_features").to_pylist())]
         return pa.RecordBatch.from_arrays([*[part.column(c) for c in ("doc_id", "n_words", "n_features")], pa.array(mean, pa.int64())], [f.split()[0] for f in WEIGHTS.split(", ")])
 
@@ -152,5 +159,5 @@ def target_resampling(documents: DataFrame, target: DataFrame, how: Resampling =
     features = written(scanned(documents, how), "features")
     wanted = scanned(target.select(F.lit(0).alias("doc_id"), "text"), how)
     gain = gains(counted(features, how), counted(wanted, how), how)
-    scored = weighted(features, gain).withColumn("score", F.col("weight") + noise("doc_id", how.seed))
+    scored = weighted(features, gain, how).withColumn("score", F.col("weight") + noise("doc_id", how.seed))
     return ranked(written(scored, "scores"), how)
