@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A JSON array file is one document and cannot be split, so it must be a bounded page.
-ARRAY_FILE_LIMIT = 128 * 1024 * 1024
+from tallyforge.sources.json_arrays import array_records
 
 
 def read_landed(
@@ -20,14 +19,14 @@ def read_landed(
 ) -> DataFrame:
     """One row per record, column `raw_data`.
 
-    layout "lines": one JSON object per line, split freely over tasks. layout "array": each file is a JSON
-    array, split over tasks by file. `where` may use `field(key)`. `order_by` (record keys), `offset` and
+    layout "lines": one JSON object per line. layout "array": each file is a JSON array of objects; a damaged file
+    raises. Both are split freely over tasks. `where` may use `field(key)`. `order_by` (record keys), `offset` and
     `limit` read one page; without them every record is read.
     """
     if layout == "lines":
         records = spark.read.text(path).select(F.col("value").alias("raw_data")).filter(F.trim("raw_data") != "")
     elif layout == "array":
-        records = _array_records(spark, path)
+        records = array_records(spark, path)
     else:
         raise ValueError(f"unknown layout {layout!r}")
     if where is not None:
@@ -35,14 +34,6 @@ def read_landed(
     return page(records, order_by or [], offset, limit)
 
 
-def _array_records(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.text(path, wholetext=True).select("value", "_metadata.file_size")
-    too_big = F.raise_error(F.lit(f"array file above {ARRAY_FILE_LIMIT} bytes; land it as one record per line"))
-    checked = files.filter(F.when(F.col("file_size") > ARRAY_FILE_LIMIT, too_big.cast("boolean")).otherwise(True))
-    elements = checked.select(F.explode(F.from_json("value", "array<variant>")).alias("record"))
-    return elements.select(F.to_json("record").alias("raw_data"))
-
-
 def field(key: str, raw: str = "raw_data") -> Column:
     """Text of one top-level field, NULL if absent."""
     return F.get_json_object(raw, f"$.{key}")

@@ -153,6 +153,7 @@ ORACLES: dict[str, str] = {
     "bronze_source_filter": f"WITH {ORDER_RECORDS} SELECT {RAW_COLUMNS} FROM records WHERE year >= '1997'",
     "bronze_page": f"""WITH {ORDER_RECORDS} SELECT {RAW_COLUMNS} FROM (
       SELECT * FROM records ORDER BY data_as_of, order_key LIMIT 2000 OFFSET 100) AS one_page""",
+    "landing_array": f"WITH {ORDER_RECORDS} SELECT {RAW_COLUMNS} FROM records",
     "run_audit": """WITH counts AS (
         SELECT strftime(o_orderdate, '%Y%m') AS ym, COUNT(*) AS n, CAST(MIN(o_orderdate) AS DATE) AS started_at,
           CAST(MAX(o_orderdate) AS DATE) AS finished_at FROM orders GROUP BY 1)

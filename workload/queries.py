@@ -22,6 +22,7 @@ from workload import planted, shapes
 ENTITY = ("jurisdiction",)
 SUPPLIER_LOW, SUPPLIER_HIGH = 100, 2500
 PAGE_OFFSET, PAGE_SIZE = 100, 2000
+ORDERS_PER_PAGE = 20_000  # keys of one landed array file
 SOURCE_YEAR = "1997"
 STATUS_BATCHES = {"F": "full_20020101_000000", "O": "full_20020102_000000", "P": "full_20020103_000000"}
 
@@ -60,6 +61,16 @@ def bronze_page(spark, sf_dir):
     return _fields(landing.page(raw, ["data_as_of", "order_key"], PAGE_OFFSET, PAGE_SIZE))
 
 
+@query
+def landing_array(spark, sf_dir):
+    """Every order's record landed as pages, each one JSON array in one file, and read back record by record."""
+    folder = work_folder(spark, "landing_array")
+    raw = shapes.order_raw(spark, sf_dir).withColumn("page", F.floor(landing.field("order_key").cast("bigint") / ORDERS_PER_PAGE))
+    pages = raw.groupBy("page").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("raw_data"), ",\n"), F.lit("\n]")).alias("value"))
+    pages.write.partitionBy("page").text(folder)
+    return _fields(landing.read_landed(spark, folder, layout="array"))
+
+
 def _fields(raw: DataFrame, *columns: str) -> DataFrame:
     key = landing.field("order_key").cast("bigint").alias("order_key")
     return raw.select(key, landing.field("year").alias("year_text"), landing.field("all_cause").alias("count_text"), *columns)
