@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.sources.json_arrays import array_records
+from tallyforge.sources.paging import by_position
 
 
 def read_landed(
@@ -50,10 +51,10 @@ def spread(rows: DataFrame) -> DataFrame:
 
 
 def page(records: DataFrame, order_by: list[str], offset: int = 0, limit: int | None = None) -> DataFrame:
-    """One page of the source in a fixed order. Without a limit and an offset nothing is sorted or dropped."""
+    """One page of the source, sorted. Without a limit and an offset nothing is sorted or dropped."""
     if limit is None and offset == 0:
         return records
     if not order_by:
         raise ValueError("a page needs an order")
-    ordered = records.orderBy(*[field(key) for key in order_by], "raw_data").offset(offset)
-    return ordered if limit is None else ordered.limit(limit)
+    keys = [field(key) for key in order_by]
+    return by_position(records, keys, "raw_data", offset, limit).orderBy(*keys, "raw_data")
