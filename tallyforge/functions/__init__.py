@@ -8,6 +8,7 @@ from tallyforge.functions.scalars import (
     share_pct,
     typed_flag,
     typed_int,
+    typed_int_overflows,
     variant_text,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "share_pct",
     "typed_flag",
     "typed_int",
+    "typed_int_overflows",
     "variant_text",
 ]

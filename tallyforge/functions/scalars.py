@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Texts accepted as whole numbers and as dates.
 INT_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
-DATE_TEXT = r"^(?!0000)[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])$"
+DATE_TEXT = r"^(?!0000)[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])\z"
 DATE_PREFIX_LENGTH = 10
 BATCH_STAMP = "yyyyMMdd_HHmmss"
 
@@ -84,6 +84,14 @@ def typed_int(value: Column) -> Column:
     )
 
 
+def typed_int_overflows(value: Column) -> Column:
+    """True for a whole number in a variant that a 32-bit integer cannot hold: a JSON number, or a text that `safe_int` knows."""
+    kind = F.schema_of_variant(value)
+    is_number = (kind == "BIGINT") | _is_fraction(kind)
+    too_large = F.when(kind == "STRING", int_overflows(variant_text(value))).when(is_number, typed_int(value).isNull())
+    return F.coalesce(too_large, F.lit(False))
+
+
 def typed_flag(value: Column) -> Column:
     """Truth of a variant by its JSON type: absent, null, '', 0, false, [] and {} are false."""
     kind = F.schema_of_variant(value)

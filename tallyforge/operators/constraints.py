@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 from tallyforge.operators.upsert import require_unique
 
 
+class ConstraintError(ValueError):
+    """Rows break constraints of their table; the message lists all of them with their counts."""
+
+
+def describe(kind: str, column: str, limit: int | None, n: int) -> str:
+    says = {"not_null": "is NULL", "max_length": f"is longer than {limit}", "int_range": "does not fit 32 bits"}
+    return f"{column} {says[kind]} in {n} row{'s' * (n != 1)}"
+
+
 def enforce(
     rows: DataFrame,
     schema: T.StructType,

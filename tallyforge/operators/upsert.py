@@ -41,7 +41,6 @@ def merge(
     run_ts: datetime | None = None,
     on_duplicate: str = "error",
     order: Sequence[Column | str] = (),
-    small_source: bool = False,
 ) -> DataFrame:
     """Target after the upsert.
 
@@ -50,8 +49,7 @@ def merge(
     is `run_ts` on every row the source touched. A key repeated in the source raises, or with
     on_duplicate="last" its greatest row by `order` counts. Target keys are unique, as every merge leaves them.
 
-    Both sides are shuffled by key. With small_source=True, for a source whose counted rows fit in memory many
-    times over, the source is broadcast instead and the target stays in its partitions.
+    Both sides are shuffled by key, so read only the partitions of the target that the source touches.
     """
     columns = [c for c in target.columns if c not in keys and c != LOADED_AT]
     update = columns if update is None else list(update)
@@ -67,14 +65,27 @@ def merge(
     new = source.withColumn("_new", F.lit(True)).alias("new")
     now = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     picked = _picked(target.columns, keys, update, now)
-    if not small_source:
-        return old.join(new, list(keys), "full_outer").select(*picked)
-    kept_or_updated = old.join(F.broadcast(new), list(keys), "left").select(*picked)
-    matched = target.select(*keys).join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
-    added = source.join(F.broadcast(matched), list(keys), "left_anti")
-    if LOADED_AT in target.columns:
-        added = added.withColumn(LOADED_AT, now)
-    return kept_or_updated.unionByName(added.select(*target.columns))
+    return old.join(new, list(keys), "full_outer").select(*picked)
+
+
+def fold_batches(
+    rows: DataFrame,
+    keys: Sequence[str],
+    batch: Sequence[str],
+    update: Sequence[str],
+    on_duplicate: str = "error",
+    order: Sequence[Column | str] = (),
+) -> DataFrame:
+    """Rows of several batches as one row per key, as if the batches were merged one after the other.
+
+    Batches follow each other in the order of the `batch` columns. The `update` columns come from the last batch that
+    has the key, the others from the first. A key repeated inside one batch is treated as `on_duplicate` says.
+    """
+    once = [*keys, *batch]
+    rows = last_by_key(rows, once, order) if on_duplicate == "last" else require_unique(rows, once)
+    turn = F.struct(*batch)
+    rest = [c for c in rows.columns if c not in once]
+    return rows.groupBy(*keys).agg(*[(F.max_by if c in update else F.min_by)(c, turn).alias(c) for c in rest])
 
 
 def _picked(names: Sequence[str], keys: Sequence[str], update: Sequence[str], now: Column) -> list[Column]:

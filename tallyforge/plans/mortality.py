@@ -55,6 +55,8 @@ SPEC = RecordSpec(
     flag_column="is_provisional",
     required=("year", "month"),
     order=("jurisdiction", "year", "month", *DATES, *COUNTS, "is_provisional"),
+    not_null=("jurisdiction",),
+    lengths={"jurisdiction": NAME_LENGTH},
 )
 
 INT, DATE, BOOL, TEXT, TIME = T.IntegerType(), T.DateType(), T.BooleanType(), T.StringType(), T.TimestampType()
@@ -77,7 +79,8 @@ SILVER = Layout(
             *_schema({"is_provisional": BOOL, "loaded_at": TIME}, {}),
         ]
     ),
-    "year",
+    ("year", "month"),
+    SILVER_KEYS,
 )
 # The first load fixes the period bounds of a row; later loads revise everything else.
 SILVER_UPDATE = (*COUNTS, "is_provisional", "data_as_of")
@@ -89,33 +92,16 @@ def gold_layouts(entity: Sequence[str] = ()) -> dict[str, Layout]:
     trend_counts = {"total_deaths": INT} | {f"{n}_deaths": INT for n in TREND_PARTS.values()}
     trend_shares = {f"{n}_pct": PCT for n in TREND_PARTS.values()}
     period = {"year": INT, "month": INT}
+    keys = gold_keys(entity)
+    trends_schema = _schema(lead | period, trend_counts | trend_shares | {"is_provisional": BOOL, "loaded_at": TIME})
+    measures = {"total_deaths": INT, "avg_monthly_deaths": MEAN, "pct_of_all_deaths": PCT, "loaded_at": TIME}
+    summary_schema = _schema(lead | {"year": INT, "cause": TEXT}, measures)
+    against_prior = {"total_deaths": INT, "covid_deaths": INT, "non_covid_deaths": INT, "covid_pct": PCT, "excess_vs_prev_year": INT}
+    impact_schema = _schema(lead | period, against_prior | {"loaded_at": TIME})
     return {
-        "trends": Layout(
-            "trends", _schema(lead | period, trend_counts | trend_shares | {"is_provisional": BOOL, "loaded_at": TIME}), "year"
-        ),
-        "summary": Layout(
-            "summary",
-            _schema(
-                lead | {"year": INT, "cause": TEXT},
-                {"total_deaths": INT, "avg_monthly_deaths": MEAN, "pct_of_all_deaths": PCT, "loaded_at": TIME},
-            ),
-            "year",
-        ),
-        "impact": Layout(
-            "impact",
-            _schema(
-                lead | period,
-                {
-                    "total_deaths": INT,
-                    "covid_deaths": INT,
-                    "non_covid_deaths": INT,
-                    "covid_pct": PCT,
-                    "excess_vs_prev_year": INT,
-                    "loaded_at": TIME,
-                },
-            ),
-            "year",
-        ),
+        "trends": Layout("trends", trends_schema, ("year", "month"), keys["trends"]),
+        "summary": Layout("summary", summary_schema, ("year",), keys["summary"]),
+        "impact": Layout("impact", impact_schema, ("year", "month"), keys["impact"]),
     }
 
 

@@ -9,24 +9,31 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.operators import quality
-from tallyforge.operators.constraints import enforce
-from tallyforge.operators.parse import REASON, parse
-from tallyforge.operators.upsert import merge
+from tallyforge.operators.constraints import ConstraintError, describe, enforce
+from tallyforge.operators.parse import BROKEN, REASON, parse
+from tallyforge.operators.upsert import fold_batches, merge
 from tallyforge.plans import mortality
-from tallyforge.sources import bronze
+from tallyforge.sources import bronze, ledger
 from tallyforge.sources.landing import spread
-from tallyforge.sources.versions import TableSet, by_value, new_run, remove_path
+from tallyforge.sources.ledger import Batch, Ledger
+from tallyforge.sources.versions import TableSet, by_partition, new_run, remove_path
 
 GOLD_BUILT_FROM = "_gold_built_from"
-MOST_FOLDERS = 10000
-SMALL_BATCH = 100_000  # rows of a batch that is broadcast: some tens of megabytes
+BATCH = ("ingested_at", "batch_id")
+# Conditions that rows raise, as against those of machines: a batch that meets one is not tried again by itself.
+ROW_CONDITIONS = ("[USER_RAISED_EXCEPTION]", "[CAST_OVERFLOW", "[NUMERIC_VALUE_OUT_OF_RANGE", "[CAST_INVALID_INPUT]")
 
 
 @dataclass
 class Config:
-    """What one run needs. `entity` is () for one jurisdiction, ("jurisdiction",) to report on each."""
+    """What one run needs. `entity` is () for one jurisdiction, ("jurisdiction",) to report on each.
+
+    on_violation="quarantine" keeps rows that break a constraint of the silver table aside with its name, "error" stops
+    the load; null_jurisdiction="reject" keeps aside rows without a jurisdiction in either case.
+    """
 
     root: str
     source: str
@@ -36,6 +43,7 @@ class Config:
     on_duplicate: str = "error"
     duplicate_order: Sequence[str] = ("data_as_of",)
     null_jurisdiction: str = "error"
+    on_violation: str = "error"
     typed_json: bool = False
     checks: Sequence[quality.Check] = field(default_factory=mortality.checks)
 
@@ -48,6 +56,9 @@ class Result:
     transformed: int = 0
     dropped: int = 0
     upserted: int = 0
+    violations: dict = field(default_factory=dict)
+    batches: list = field(default_factory=list)
+    high_water: datetime | None = None
     silver_years: list = field(default_factory=list)
     gold_years: list = field(default_factory=list)
     report: list = field(default_factory=list)
@@ -60,9 +71,10 @@ def utc_now() -> datetime:
 def run(spark: SparkSession, config: Config, landed: Callable[[], DataFrame], run_ts: datetime | None = None) -> Result:
     """All stages. `landed` gives the records to ingest (column `raw_data`), so that its failure is audited too."""
     at = run_ts or utc_now()
+    tables = TableSet(spark, config.root)
     result = ingest(spark, config, landed, at)
-    load_silver(spark, config, result, at)
-    build_gold(spark, config, result, at)
+    load_silver(spark, config, result, at, tables)
+    build_gold(spark, config, result, at, tables=tables)
     return result
 
 
@@ -73,108 +85,164 @@ def ingest(spark: SparkSession, config: Config, landed: Callable[[], DataFrame],
     try:
         n = bronze.append(landed(), f"{config.root}/bronze", config.source_url, batch_id, at)
     except Exception as error:
-        bronze.log_run(spark, audit, batch_id, config.source, bronze.FAILED, 0, str(error)[:1000], at, utc_now())
+        bronze.log_run(spark, audit, batch_id, config.source, bronze.FAILED, 0, str(error), at, utc_now())
         raise
     bronze.log_run(spark, audit, batch_id, config.source, bronze.SUCCESS, n, None, at, utc_now())
     return Result(batch_id=batch_id, received=n, inserted=n)
 
 
-def load_silver(spark: SparkSession, config: Config, result: Result | None, at: datetime) -> Result:
-    """Parse the latest batch once into a staged table, then upsert the years it touches.
+def load_silver(spark: SparkSession, config: Config, result: Result | None, at: datetime, tables: TableSet | None = None) -> Result:
+    """Load every batch that waits in the ledger, together and each once; without any, the newest one again.
 
-    Untouched years are neither read nor written. A batch counted as small is broadcast, so that the touched years
-    are rewritten without a shuffle.
+    If rows of one of them break the load, the batches are loaded one by one, and those that fail are marked so and left
+    out from then on until they are ingested again. If silver was published with another key, other partitions or other
+    columns, it is built afresh from all batches that did not fail.
     """
-    raw = bronze.read(spark, f"{config.root}/bronze")
-    newest = result.batch_id if result and result.inserted else bronze.known_latest(raw)
-    result = result or Result(batch_id=newest)
-    path = f"{config.root}/staged/run={new_run()}"
-    staged = _stage(spark, config, bronze.latest_batch(raw, newest), result, path)
-    small = result.transformed <= SMALL_BATCH
-
-    years = _values(staged, "year")
-    tables = TableSet(spark, config.root)
-    current = tables.folders(mortality.SILVER.name)
-    target = tables.read(mortality.SILVER, [current[str(y)] for y in years if str(y) in current])
+    tables, book = tables or TableSet(spark, config.root), Ledger(spark, f"{config.root}/bronze")
+    known = book.batches()
+    if not known:
+        raise ValueError(bronze.EMPTY)
+    result = result or Result(batch_id=known[-1].batch_id)
+    if tables.changed([mortality.SILVER]):
+        waiting = [b for b in known if b.state != ledger.FAILED]
+    else:
+        waiting = ledger.backlog(known) or known[-1:]
+    failures = []
+    try:
+        _load(spark, config, waiting, result, at, tables)
+    except Exception as error:
+        if not _raised_by_rows(error):
+            raise
+        failures = [error] if len(waiting) == 1 else _load_one_by_one(spark, config, waiting, result, at, tables, book)
+        if len(waiting) == 1:
+            book.mark(waiting, ledger.FAILED)
+    else:
+        book.mark(waiting, ledger.LOADED)
+    result.high_water = ledger.high_water(book.batches())
+    if failures:
+        raise failures[0]
+    return result
+
+
+def _raised_by_rows(error: Exception) -> bool:
+    return isinstance(error, ConstraintError) or any(condition in str(error) for condition in ROW_CONDITIONS)
+
+
+def _load_one_by_one(spark, config: Config, batches: list[Batch], result: Result, at: datetime, tables: TableSet, book: Ledger) -> list[Exception]:
+    failures = []
+    for batch in batches:
+        try:
+            _load(spark, config, [batch], result, at, tables)
+        except Exception as error:
+            if not _raised_by_rows(error):
+                raise
+            failures.append(error)
+            book.mark([batch], ledger.FAILED)
+        else:
+            book.mark([batch], ledger.LOADED)
+    return failures
+
+
+def _load(spark: SparkSession, config: Config, batches: list[Batch], result: Result, at: datetime, tables: TableSet) -> None:
+    """Parse the batches once into a staged table, then upsert the months they touch. Others are neither read nor written."""
+    layout, path = mortality.SILVER, f"{config.root}/staged/run={new_run()}"
+    staged = _stage(spark, config, bronze.read(spark, f"{config.root}/bronze", batches), result, path)
+    touched = _partitions(staged, layout.partitions)
+    afresh = tables.changed([layout])
+    current = {} if afresh else tables.folders(layout.name)
+    target = tables.read(layout, [current[f] for f in map(layout.folder, touched) if f in current])
     defaults = {"is_provisional": F.lit(False), "loaded_at": F.lit(at).cast("timestamp")}
-    checked = enforce(staged, mortality.SILVER.schema, lengths={"jurisdiction": mortality.NAME_LENGTH}, defaults=defaults)
-    merged = merge(
-        target,
-        checked,
-        mortality.SILVER_KEYS,
-        mortality.SILVER_UPDATE,
-        run_ts=at,
-        on_duplicate=config.on_duplicate,
-        order=config.duplicate_order,
-        small_source=small,
-    )
-    if years:
-        folders = tables.write(mortality.SILVER, merged, years, new_run(), in_place=small and bool(current))
-        tables.publish({mortality.SILVER.name: folders}, at)
+    columns = T.StructType([*layout.schema, *[f for f in bronze.BRONZE_SCHEMA if f.name in BATCH]])
+    source = enforce(staged, columns, lengths=mortality.SPEC.lengths, defaults=defaults)
+    keys, update = mortality.SILVER_KEYS, mortality.SILVER_UPDATE
+    if len(batches) > 1:
+        source = fold_batches(source, keys, BATCH, update, config.on_duplicate, config.duplicate_order)
+        merged = merge(target, source, keys, update, run_ts=at)
+    else:
+        merged = merge(target, source, keys, update, at, config.on_duplicate, config.duplicate_order)
+    if touched:
+        folders = tables.write(layout, merged, touched, new_run())
+        tables.publish({layout.name: folders}, at, layouts=[layout], afresh=afresh)
     remove_path(spark, f"{path}/usable=true")  # now in silver; the rejects stay
-    result.upserted, result.silver_years = result.transformed, years
-    return result
+    result.upserted, result.batches = result.transformed, [b.batch_id for b in batches]
+    result.silver_years = sorted({year for year, _ in touched})
 
 
 def _stage(spark: SparkSession, config: Config, batch: DataFrame, result: Result, path: str) -> DataFrame:
-    """Typed rows of the batch, read back from the one write that also keeps the rejects and takes the counts."""
-    parsed = parse(spread(batch), mortality.SPEC, config.typed_json, filters_follow=False)
-    if config.null_jurisdiction == "reject":
-        missing = F.col(REASON).isNull() & F.col("jurisdiction").isNull()
-        parsed = parsed.withColumn(REASON, F.when(missing, "no_jurisdiction").otherwise(F.col(REASON)))
+    """Typed rows of the batches, read back from the one write that also keeps the rejects and counts every constraint."""
+    parsed = parse(spread(batch), mortality.SPEC, config.typed_json, filters_follow=False, carry=BATCH, constraints=True)
+    names = [f"{kind}:{column}" for kind, column in mortality.SPEC.constraints()]
+    aside = [n for n in names if config.on_violation == "quarantine" or (n == "not_null:jurisdiction" and config.null_jurisdiction == "reject")]
+    identified, parts = F.col(REASON).isNull(), [F.lit(n) for n in aside]
+    first = F.get(F.array_intersect(BROKEN, F.array(*parts)), 0) if parts else F.lit(None).cast("string")
+    parsed = parsed.withColumn(BROKEN, F.when(identified, F.col(BROKEN)).otherwise(F.array())).withColumn(REASON, F.coalesce(REASON, first))
     usable = F.col(REASON).isNull()
     seen = Observation("parse")
-    counted = parsed.observe(seen, F.count(F.lit(1)).alias("received"), F.count_if(usable).alias("usable"))
+    counts = [F.count_if(F.array_contains(BROKEN, n)).alias(f"v{i}") for i, n in enumerate(names)]
+    counted = parsed.observe(seen, F.count(F.lit(1)).alias("received"), F.count_if(usable).alias("usable"), *counts)
     text_if_rejected = F.when(~usable, F.col("raw_data")).alias("raw_data")
-    columns = [text_if_rejected, *mortality.SPEC.columns(), REASON, usable.alias("usable")]
+    columns = [text_if_rejected, *BATCH, *mortality.SPEC.columns(), REASON, usable.alias("usable")]
     placed = counted.select(*columns)
     placed.write.partitionBy("usable").parquet(path)
-    counts = seen.get
-    result.transformed, result.dropped = counts["usable"], counts["received"] - counts["usable"]
-    return spark.read.schema(placed.schema).parquet(path).filter(F.col("usable")).select(*mortality.SPEC.columns())
+    found = seen.get
+    result.transformed, result.dropped = found["usable"], found["received"] - found["usable"]
+    result.violations = {n: found[f"v{i}"] for i, n in enumerate(names)}
+    broken = [n.split(":") for n, count in result.violations.items() if count and n not in aside]
+    if broken:
+        says = [describe(kind, c, mortality.SPEC.lengths.get(c), result.violations[f"{kind}:{c}"]) for kind, c in broken]
+        raise ConstraintError("; ".join(says))
+    return spark.read.schema(placed.schema).parquet(path).filter(F.col("usable")).select(*BATCH, *mortality.SPEC.columns())
 
 
-def _values(rows: DataFrame, column: str) -> list:
-    """Distinct values of a partition column, bounded because each becomes a folder."""
-    found = [r[0] for r in rows.select(column).distinct().limit(MOST_FOLDERS + 1).collect()]
-    if len(found) > MOST_FOLDERS:
-        raise ValueError(f"more than {MOST_FOLDERS} values of {column}; a table cannot have that many folders")
-    return sorted(found)
+def _partitions(rows: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """Distinct values of the partition columns: as many as the folders that are written next."""
+    return sorted(tuple(r) for r in rows.select(*columns).distinct().collect())
 
 
-def build_gold(spark: SparkSession, config: Config, result: Result, at: datetime, rebuild: bool = False) -> Result:
-    """Upsert the reporting tables for the years whose silver folder changed since the last publication,
+def build_gold(
+    spark: SparkSession, config: Config, result: Result, at: datetime, rebuild: bool = False, tables: TableSet | None = None
+) -> Result:
+    """Upsert the reporting tables for the months whose silver folder changed since the last publication,
     check the outcome as it would be, and only then publish all three together.
 
-    A year's impact also depends on the silver rows of the year before, so the year after a changed one follows it.
+    A month's impact also depends on the silver rows of the same month a year before, so that of the year after a changed
+    one follows it; a year's summary depends on all of its months. Tables that were published with another key, other
+    partitions or other columns keep nothing of that, and everything is built again.
     """
-    tables = TableSet(spark, config.root)
+    tables = tables or TableSet(spark, config.root)
+    entity, layouts, run_id = config.entity, mortality.gold_layouts(config.entity), new_run()
+    afresh = tables.changed(list(layouts.values()))
     _, published = tables.published()
-    silver_now = {int(year): folder for year, folder in by_value(published.get(mortality.SILVER.name, [])).items()}
-    built_from = set() if rebuild else set(published.get(GOLD_BUILT_FROM, []))
-    changed = sorted(year for year, folder in silver_now.items() if folder not in built_from)
-    followed = sorted(year for year in silver_now if year in changed or year - 1 in changed)
-    needed = sorted(year for year in silver_now if year in followed or year + 1 in followed)
-    silver = tables.read(mortality.SILVER, [silver_now[year] for year in needed])
+    silver = by_partition(published.get(mortality.SILVER.name, []))
+    silver_now = {tuple(map(int, mortality.SILVER.values(folder))): folder for folder in silver.values()}
+    built_from = set() if rebuild or afresh else set(published.get(GOLD_BUILT_FROM, []))
+    changed = sorted(month for month, folder in silver_now.items() if folder not in built_from)
+    is_changed = set(changed)
+    years = sorted({year for year, _ in changed})
+    followed = sorted(m for m in silver_now if m in is_changed or (m[0] - 1, m[1]) in is_changed)
+    needed = {*followed, *[(y - 1, m) for y, m in followed]}
+
+    def read(months) -> DataFrame:
+        return tables.read(mortality.SILVER, [folder for month, folder in silver_now.items() if month in months])
+
+    def only(rows: DataFrame, months: list[tuple]) -> DataFrame:
+        return rows.filter((F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months]))
 
-    entity, layouts, run_id = config.entity, mortality.gold_layouts(config.entity), new_run()
     sources = {
-        "trends": (mortality.trends(silver, entity), changed),
-        "summary": (mortality.summary(silver, entity), changed),
-        "impact": (mortality.impact(silver, entity), followed),
+        "trends": (lambda: mortality.trends(read(is_changed), entity), changed),
+        "summary": (lambda: mortality.summary(read({m for m in silver_now if m[0] in years}), entity), [(y,) for y in years]),
+        "impact": (lambda: only(mortality.impact(read(needed), entity), followed), followed),
     }
 
     def build(name: str) -> tuple[str, list[str], DataFrame]:
-        layout, current = layouts[name], by_value(published.get(name, []))
-        rows, years = sources[name]
+        layout, current = layouts[name], {} if name in afresh else by_partition(published.get(name, []))
+        rows, touched = sources[name]
         added = []
-        if years:
-            mine = rows.filter(F.col("year").isin(years))
-            stamped = enforce(mine, layout.schema, defaults={"loaded_at": F.lit(at).cast("timestamp")})
-            target = tables.read(layout, [current[str(year)] for year in years if str(year) in current])
-            merged = merge(target, stamped, mortality.gold_keys(entity)[name], run_ts=at)
-            added = tables.write(layout, merged, years, run_id)
-        return name, added, tables.read(layout, list({**current, **by_value(added)}.values()))
+        if touched:
+            stamped = enforce(rows(), layout.schema, defaults={"loaded_at": F.lit(at).cast("timestamp")})
+            target = tables.read(layout, [current[f] for f in map(layout.folder, touched) if f in current])
+            added = tables.write(layout, merge(target, stamped, layout.keys, run_ts=at), touched, run_id)
+        return name, added, tables.read(layout, list({**current, **by_partition(added)}.values()))
 
     # Three independent jobs: started together, the short ones fill the tail of the long one.
     with ThreadPoolExecutor(len(sources)) as pool:
@@ -183,8 +251,8 @@ def build_gold(spark: SparkSession, config: Config, result: Result, at: datetime
     result.report = quality.gate(quality.report({name: ready for name, _, ready in built}, config.checks))
     if changed:
         folders = {name: added for name, added, _ in built}
-        tables.publish(folders, at, notes={GOLD_BUILT_FROM: sorted(silver_now.values())})
-    result.gold_years = changed
+        tables.publish(folders, at, {GOLD_BUILT_FROM: sorted(silver_now.values())}, list(layouts.values()), afresh)
+    result.gold_years = years
     return result
 
 

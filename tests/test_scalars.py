@@ -152,3 +152,9 @@ def test_typed_values(spark):
     ints = [12, -12, 1, 0, 3, 12, None, None, None, 0, 0, 0, None, None, None, None, None]
     assert [r.n for r in got] == ints
     assert [r.f for r in got] == [bool(v) for v in values]
+
+
+def test_a_trailing_newline_is_no_part_of_a_date(spark):
+    frame = spark.createDataFrame([("2020-01-1\n",), ("2020-01-01\n",), ("2020-01-1",)], "t string")
+    got = [r[0] for r in frame.select(fn.safe_date(F.col("t"))).collect()]
+    assert got[0] is None and got[1] == dt.date(2020, 1, 1) and got[2] == dt.date(2020, 1, 1)

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators.upsert import last_by_key, merge, require_unique
+from tallyforge.operators.upsert import fold_batches, last_by_key, merge, require_unique
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 SCHEMA = "k string, y int, start string, n int, loaded_at timestamp"
@@ -99,20 +99,20 @@ def test_unique_guard_and_join_share_a_shuffle(spark, target, source):
 
 
 @pytest.mark.parametrize("on_duplicate", ["error", "last"])
-def test_small_source_gives_the_same_rows(spark, target, source, on_duplicate):
-    def merged(small, update=None):
-        return merge(target, source, ["k", "y"], update, T1, on_duplicate, ["n"], small_source=small)
-
-    assert merged(True).columns == merged(False).columns
-    assert rows(merged(True)) == rows(merged(False))
-    assert rows(merged(True, ["n"])) == rows(merged(False, ["n"]))
-    empty = source.filter("n > 1000")
-    assert rows(merge(target, empty, ["k", "y"], run_ts=T1, small_source=True)) == rows(target)
-
-
-def test_small_source_leaves_the_target_in_place(spark, tmp_path, target, source):
-    target.write.parquet(str(tmp_path / "t"))
-    stored = spark.read.parquet(str(tmp_path / "t"))
-    plan = merge(stored, source, ["k", "y"], run_ts=T1, small_source=True)._jdf.queryExecution().executedPlan().toString()
-    shuffled = [below.split("\n")[1] for below in plan.split("Exchange hashpartitioning")[1:]]
-    assert shuffled and all("partial_count(1)" in line for line in shuffled), "only the source's guard shuffles"
+def test_folded_batches_equal_one_merge_after_the_other(spark, on_duplicate):
+    target = spark.createDataFrame([("a", 1, "x", T0), ("e", 9, "y", T0)], "k string, n int, first string, loaded_at timestamp")
+    batches = [("a", 2, "p", 1), ("b", 3, "q", 1), ("b", 4, "r", 2), ("c", None, "s", 2), ("c", 5, "t", 3), ("b", None, "u", 3), ("b", 6, "v", 4)]
+    frame = spark.createDataFrame(batches, "k string, n int, first string, at int")
+    stepwise = target
+    for at in (1, 2, 3, 4):
+        stepwise = merge(stepwise, frame.filter(f"at = {at}").drop("at"), ["k"], ["n"], T1)
+    folded = fold_batches(frame, ["k"], ["at"], ["n"], on_duplicate, ["n"])
+    at_once = merge(target, folded, ["k"], ["n"], T1)
+    assert sorted(map(tuple, at_once.collect())) == sorted(map(tuple, stepwise.collect()))
+
+
+def test_key_repeated_inside_a_batch(spark):
+    frame = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("a", 0, 2)], "k string, n int, at int")
+    with pytest.raises(Exception, match="repeated key: k=a, at=1"):
+        fold_batches(frame, ["k"], ["at"], ["n"]).collect()
+    assert fold_batches(frame.filter("at = 1"), ["k"], ["at"], ["n"], "last", ["n"]).first().n == 2

@@ -147,6 +147,14 @@ def upsert_gold(make, columns: list[str], keys: list[str]) -> str:
 
 RAW_COLUMNS = "CAST(order_key AS BIGINT) AS order_key, year AS year_text, all_cause AS count_text"
 
+INT_KEYS = {"year": "year", "month": "month"} | {c: "covid_19_underlying_cause" if c == "covid_19_underlying" else c for c in SILVER_COUNTS}
+
+
+def too_large(text: str) -> str:
+    whole = rf"regexp_full_match({text}, '\s*[+-]?[0-9]+(_[0-9]+)*\s*')"
+    return f"{whole} AND ABS(TRY_CAST(replace(trim({text}), '_', '') AS HUGEINT)) > 2147483647"
+
+
 ORACLES: dict[str, str] = {
     "bronze_ingest": f"""WITH {ORDER_RECORDS}
       SELECT {RAW_COLUMNS}, 'orders' AS source_url, 'full_20020201_000000' AS batch_id FROM records""",
@@ -164,6 +172,8 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'empty_full_' || ym, 'orders', 'success', CAST(0 AS BIGINT), NULL, started_at, finished_at FROM counts""",
     "latest_batch": f"""WITH {ORDER_RECORDS} SELECT {RAW_COLUMNS}, 'full_20020103_000000' AS batch_id FROM records
       WHERE CAST(order_key AS BIGINT) IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""",
+    "bronze_reingest": f"""WITH {ORDER_RECORDS}
+      SELECT {RAW_COLUMNS}, 'orders' AS source_url, 'full_20020201_000000' AS batch_id FROM records""",
     "stage_counts": f"""WITH {ORDER_RECORDS}, {TYPED_ORDERS}, n AS (
         SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE year IS NOT NULL AND month IS NOT NULL) AS usable FROM typed)
       SELECT 'received' AS stage, total AS n FROM n UNION ALL SELECT 'inserted', total FROM n
@@ -176,16 +186,19 @@ ORACLES: dict[str, str] = {
       FROM typed WHERE year IS NULL OR month IS NULL""",
     "constraint_violations": f"""WITH {ORDER_RECORDS}, {TYPED_ORDERS},
         usable AS (SELECT * FROM typed WHERE year IS NOT NULL AND month IS NOT NULL),
-        wide AS (SELECT {", ".join(
-            rf"COUNT(*) FILTER (WHERE regexp_full_match({key}, '\s*[+-]?[0-9]+(_[0-9]+)*\s*') AND ABS(TRY_CAST(replace(trim({key}), '_', '') AS HUGEINT)) > 2147483647) AS {c}"
-            for c, key in [("year", "year"), ("month", "month")]
-            + [(c, "covid_19_underlying_cause" if c == "covid_19_underlying" else c) for c in SILVER_COUNTS]
-        )} FROM records)
+        wide AS (SELECT {", ".join(f"COUNT(*) FILTER (WHERE {too_large(key)}) AS {c}" for c, key in INT_KEYS.items())} FROM records)
       SELECT 'not_null' AS "constraint", 'jurisdiction' AS column_name, COUNT(*) AS violations FROM usable WHERE jurisdiction IS NULL
       UNION ALL SELECT 'max_length', 'jurisdiction', COUNT(*) FROM usable WHERE length(jurisdiction) > 100
       UNION ALL SELECT 'unique_key', 'jurisdiction,year,month', COUNT(*) FROM (
         SELECT 1 FROM usable GROUP BY jurisdiction, year, month HAVING COUNT(*) > 1) AS repeated
       {" ".join(f"UNION ALL SELECT 'int_range', '{c}', {c} FROM wide" for c in ["year", "month", *SILVER_COUNTS])}""",
+    "silver_overflow": f"""WITH {ORDER_RECORDS}, {TYPED_ORDERS},
+        reasons AS (SELECT CAST(order_key AS BIGINT) AS order_key, CASE WHEN jurisdiction_of_occurrence IS NULL THEN 'not_null:jurisdiction'
+          WHEN length(jurisdiction_of_occurrence) > 100 THEN 'max_length:jurisdiction'
+          {" ".join(f"WHEN {too_large(key)} THEN 'int_range:{c}'" for c, key in INT_KEYS.items())} END AS broken FROM records)
+      SELECT t.order_key, CASE WHEN year IS NULL THEN 'no_year' WHEN month IS NULL THEN 'no_month' ELSE broken END AS reject_reason,
+        'full_20020201_000000' AS batch_id FROM typed t JOIN reasons USING (order_key)
+      WHERE year IS NULL OR month IS NULL OR broken IS NOT NULL""",
     "upsert_silver": UPSERT_SILVER,
     "upsert_idempotent": UPSERT_SILVER,
     "upsert_gold": upsert_gold(trends_of, TRENDS_COLUMNS, MONTHLY_KEYS),
@@ -352,3 +365,12 @@ ORACLES["layered_trends"] = f"""WITH {OVERALL}, {EARLIER}, {LATER}, {FINAL_SILVE
   SELECT {TRENDS_SELECT}, {LOADED_AT} FROM silver"""
 ORACLES["layered_impact_by_entity"] = f"""WITH {MONTHS}, {EARLIER}, {LATER}, {FINAL_SILVER}
   SELECT *, {LOADED_AT} FROM ({impact_of("silver")}) AS impact"""
+ORACLES["layered_entity_change"] = f"""WITH {OVERALL}, {EARLIER}, {LATER}, {FINAL_SILVER}
+  SELECT jurisdiction, {TRENDS_SELECT}, '2002-02-01' AS loaded_at FROM silver"""
+# Rows of both editions are loaded at once: the later one's counts, and the bounds of the edition that had the key first.
+ORACLES["silver_backlog"] = f"""WITH {MONTHS}, {EARLIER}, {LATER}
+  SELECT COALESCE(e.jurisdiction, l.jurisdiction) AS jurisdiction, COALESCE(e.year, l.year) AS year, COALESCE(e.month, l.month) AS month,
+    {", ".join(f"CASE WHEN e.year IS NULL THEN l.{c} ELSE e.{c} END AS {c}" for c in ("start_date", "end_date"))},
+    {", ".join(f"CASE WHEN l.year IS NULL THEN e.{c} ELSE l.{c} END AS {c}" for c in ["data_as_of", *SILVER_COUNTS, "is_provisional"])},
+    '2002-02-01' AS loaded_at
+  FROM earlier e FULL OUTER JOIN later l ON e.jurisdiction = l.jurisdiction AND e.year = l.year AND e.month = l.month"""

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge import functions as fn
-from tallyforge.operators import constraints, quality, reporting
+from tallyforge.operators import quality, reporting
 from tallyforge.operators import parse as parsing
 from tallyforge.operators.upsert import last_by_key, merge
 from tallyforge.plans import mortality
-from tallyforge.plans.run import Config, run
+from tallyforge.plans.run import Config, Result, build_gold, ingest, load_silver, run
 from tallyforge.session import work_folder
 from tallyforge.sources import bronze, landing
 from tallyforge.sources.versions import TableSet
@@ -105,16 +105,24 @@ def run_audit(spark, sf_dir):
 
 @query
 def latest_batch(spark, sf_dir):
-    """Orders appended as three batches, one per status; the newest is read back."""
-    return _fields(bronze.latest_batch(_status_batches(spark, sf_dir)), "batch_id")
-
-
-def _status_batches(spark, sf_dir) -> DataFrame:
+    """Orders appended as three batches, one per status; the newest is found in the ledger and read back."""
     folder = work_folder(spark, "latest_batch")
     for day, (status, batch_id) in enumerate(STATUS_BATCHES.items(), start=1):
         raw = shapes.order_raw(spark, sf_dir, f"o_orderstatus = '{status}'")
         bronze.append(raw, f"{folder}/bronze", "orders", batch_id, shapes.EARLIER_TS.replace(day=day))
-    return bronze.read(spark, f"{folder}/bronze")
+    return _fields(bronze.newest_batch(spark, f"{folder}/bronze"), "batch_id")
+
+
+@query
+def bronze_reingest(spark, sf_dir):
+    """An attempt that dies before it is committed, one that stops early, and the whole batch again under the same id."""
+    path = f"{work_folder(spark, 'bronze_reingest')}/bronze"
+    batch_id = "full_20020201_000000"
+    raw = shapes.order_raw(spark, sf_dir)
+    bronze.write_attempt(raw, path, "orders", batch_id, shapes.RUN_TS)
+    bronze.append(shapes.order_raw(spark, sf_dir, "o_orderstatus = 'F'"), path, "orders", batch_id, shapes.RUN_TS)
+    bronze.append(raw, path, "orders", batch_id, shapes.RUN_TS)
+    return _fields(bronze.read(spark, path), "source_url", "batch_id")
 
 
 # --- typed rows -----------------------------------------------------------------------------------------------
@@ -142,10 +150,17 @@ def silver_rejects(spark, sf_dir):
 
 @query
 def constraint_violations(spark, sf_dir):
-    rows = parsing.accepted(_parsed_orders(spark, sf_dir), mortality.SPEC)
-    lengths = {"jurisdiction": mortality.NAME_LENGTH}
-    broken = constraints.violations(rows, mortality.SILVER_KEYS, ["jurisdiction"], lengths)
-    return broken.unionByName(parsing.overflowing(shapes.order_raw(spark, sf_dir), mortality.SPEC))
+    parsed = parsing.parse(shapes.order_raw(spark, sf_dir), mortality.SPEC, constraints=True)
+    return parsing.constraint_counts(parsed, mortality.SPEC, mortality.SILVER_KEYS)
+
+
+@query
+def silver_overflow(spark, sf_dir):
+    """All orders through ingest and the silver stage, with rows that break a constraint kept aside: those, and why."""
+    config = Config(work_folder(spark, "silver_overflow"), "orders", "orders", on_duplicate="last", on_violation="quarantine")
+    load_silver(spark, config, ingest(spark, config, lambda: shapes.order_raw(spark, sf_dir), shapes.RUN_TS), shapes.RUN_TS)
+    aside = spark.read.parquet(f"{config.root}/staged/*/usable=false")
+    return aside.select(landing.field("order_key").cast("bigint").alias("order_key"), parsing.REASON, "batch_id")
 
 
 # --- upserts --------------------------------------------------------------------------------------------------
@@ -398,6 +413,28 @@ def layered_trends(spark, sf_dir):
     return _with_load_text(tables.read(mortality.gold_layouts()["trends"]))
 
 
+@query
+def silver_backlog(spark, sf_dir):
+    """Both editions land before silver is loaded once: the table that one load of two waiting batches leaves."""
+    config = _single_config(spark, "silver_backlog")
+    months = shapes.supplier_months(spark, sf_dir)
+    for at, rows in ((shapes.EARLIER_TS, shapes.earlier(months)), (shapes.RUN_TS, shapes.later(months))):
+        result = ingest(spark, config, lambda rows=rows: shapes.as_records(rows), at)
+    load_silver(spark, config, result, shapes.RUN_TS)
+    return _with_load_text(TableSet(spark, config.root).read(mortality.SILVER))
+
+
+@query
+def layered_entity_change(spark, sf_dir):
+    """Tables published for one jurisdiction, then published again with the jurisdiction in the key."""
+    config = _single_config(spark, "layered_entity")
+    months = shapes.overall_months(spark, sf_dir)
+    tables = layered_run(spark, sf_dir, months, config)
+    config.entity, config.checks = ENTITY, mortality.checks(ENTITY, 0, 2_000_000_000)
+    build_gold(spark, config, Result(""), shapes.RUN_TS, tables=tables)
+    return _with_load_text(tables.read(mortality.gold_layouts(ENTITY)["trends"]))
+
+
 @query
 def layered_impact_by_entity(spark, sf_dir):
     """Both loads per supplier. Suppliers may skip months, so the two checks that forbid gaps are left out."""
