@@ -92,6 +92,40 @@ def _impact_columns(keys: Sequence[str], total: str, part: str, part_as: str):
     ]
 
 
+def prior_year(
+    rows: DataFrame,
+    entity: Sequence[str],
+    total: str,
+    part: str,
+    part_as: str = "covid",
+    year: str = "year",
+    month: str = "month",
+) -> DataFrame:
+    """Each row against the same entity and month one year before, in one scan and one shuffle.
+
+    Every row is sent to its own year and, as a prior total, to the year after; one aggregate brings both together and
+    sees whether a key repeats, which raises. Both are counted and reduced in each task before the shuffle, so a group
+    of any size is a row per task.
+    """
+    keys = [*entity, year, month]
+    kind = rows.schema[total].dataType.simpleString()
+    own = F.struct(F.col(year), F.col(month), F.lit(True).alias("_own"), F.col(total).alias("_total"), F.col(part).alias("_part"))
+    nothing = F.lit(None).cast(rows.schema[part].dataType).alias("_part")
+    onward = F.struct((F.col(year) + 1).alias(year), F.col(month), F.lit(False).alias("_own"), F.col(total).alias("_total"), nothing)
+    both = rows.select(*entity, F.inline(F.array(own, onward)))
+    met = both.groupBy(*keys).agg(
+        F.count_if("_own").alias("_n"),
+        F.count_if(~F.col("_own")).alias("_n_prior"),
+        F.max(F.when(F.col("_own"), F.col("_total"))).cast(kind).alias(total),
+        F.max("_part").alias(part),
+        F.max(F.when(~F.col("_own"), F.col("_total"))).alias("_prior"),
+    )
+    named = [F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in keys]
+    repeated = F.raise_error(F.concat(F.lit("repeated key: "), F.concat_ws(", ", *named))).cast("boolean")
+    sound = F.when((F.col("_n") > 1) | (F.col("_n_prior") > 1), repeated).otherwise(F.col("_n") == 1)
+    return met.filter(sound).select(*_impact_columns(keys, total, part, part_as))
+
+
 def prior_year_window(
     rows: DataFrame,
     entity: Sequence[str],
@@ -103,11 +137,14 @@ def prior_year_window(
 ) -> DataFrame:
     """Each row against the same entity and month one year before, as a range window: one shuffle, no join.
 
-    Rows must be unique by entity, year and month, which the upsert guarantees; a window group then has one
-    row per year. A gap year gives NULL, which `lag` would not.
+    A window group has one row per year, and a key that repeats raises. A gap year gives NULL, which `lag` would not.
+    For many years of one entity and month; `prior_year` gathers no group in one task.
     """
-    one_year_back = Window.partitionBy(*entity, month).orderBy(year).rangeBetween(-1, -1)
-    with_prior = rows.select(*entity, year, month, total, part, F.first(total).over(one_year_back).alias("_prior"))
+    by_year = Window.partitionBy(*entity, month).orderBy(year)
+    prior, same = F.first(total).over(by_year.rangeBetween(-1, -1)), F.count(F.lit(1)).over(by_year.rangeBetween(0, 0))
+    with_prior = rows.select(*entity, year, month, total, part, prior.alias("_prior"), same.alias("_same"))
+    repeated = F.raise_error(F.concat_ws("", F.lit(f"repeated key: {year}="), year, F.lit(f", {month}="), month)).cast("boolean")
+    with_prior = with_prior.filter(F.when(F.col("_same") > 1, repeated).otherwise(True))
     return with_prior.select(*_impact_columns([*entity, year, month], total, part, part_as))
 
 

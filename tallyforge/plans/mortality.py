@@ -120,12 +120,8 @@ def summary(silver: DataFrame, entity: Sequence[str] = (), count_type: str = "bi
 
 
 def impact(silver: DataFrame, entity: Sequence[str] = ()) -> DataFrame:
-    """With the jurisdiction in the key, silver rows are unique and the window form needs a single shuffle.
-
-    Without it, several jurisdictions repeat a month, which the join form raises on.
-    """
-    form = reporting.prior_year_window if "jurisdiction" in entity else reporting.prior_year_join
-    return form(silver, entity, "all_cause", "covid_19_underlying")
+    """Several jurisdictions without one in the key repeat a month, which raises."""
+    return reporting.prior_year(silver, entity, "all_cause", "covid_19_underlying")
 
 
 def checks(entity: Sequence[str] = (), low: int = TOTAL_LOW, high: int = TOTAL_HIGH) -> list[q.Check]:

@@ -19,7 +19,7 @@ from tallyforge.plans import mortality
 from tallyforge.sources import bronze, ledger
 from tallyforge.sources.landing import spread
 from tallyforge.sources.ledger import Batch, Ledger
-from tallyforge.sources.versions import TableSet, by_partition, new_run, remove_path
+from tallyforge.sources.versions import Layout, TableSet, by_partition, new_run, remove_path
 
 GOLD_BUILT_FROM = "_gold_built_from"
 BATCH = ("ingested_at", "batch_id")
@@ -207,15 +207,17 @@ def build_gold(
 
     A month's impact also depends on the silver rows of the same month a year before, so that of the year after a changed
     one follows it; a year's summary depends on all of its months. Tables that were published with another key, other
-    partitions or other columns keep nothing of that, and everything is built again.
+    partitions or other columns keep nothing of that, and everything is built again. What the checks count is kept per
+    partition beside each table, so that they read only the partitions written here.
     """
     tables = tables or TableSet(spark, config.root)
     entity, layouts, run_id = config.entity, mortality.gold_layouts(config.entity), new_run()
-    afresh = tables.changed(list(layouts.values()))
+    states = {name: _state_layout(layout, config.checks) for name, layout in layouts.items()}
+    afresh = tables.changed([*layouts.values(), *states.values()])
     _, published = tables.published()
     silver = by_partition(published.get(mortality.SILVER.name, []))
     silver_now = {tuple(map(int, mortality.SILVER.values(folder))): folder for folder in silver.values()}
-    built_from = set() if rebuild or afresh else set(published.get(GOLD_BUILT_FROM, []))
+    built_from = set() if rebuild or afresh & set(layouts) else set(published.get(GOLD_BUILT_FROM, []))
     changed = sorted(month for month, folder in silver_now.items() if folder not in built_from)
     is_changed = set(changed)
     years = sorted({year for year, _ in changed})
@@ -234,7 +236,8 @@ def build_gold(
         "impact": (lambda: only(mortality.impact(read(needed), entity), followed), followed),
     }
 
-    def build(name: str) -> tuple[str, list[str], DataFrame]:
+    def build(name: str) -> tuple[dict[str, list[str]], DataFrame, DataFrame]:
+        """Folders added to the table and to its check state, and both as they will be."""
         layout, current = layouts[name], {} if name in afresh else by_partition(published.get(name, []))
         rows, touched = sources[name]
         added = []
@@ -242,20 +245,47 @@ def build_gold(
             stamped = enforce(rows(), layout.schema, defaults={"loaded_at": F.lit(at).cast("timestamp")})
             target = tables.read(layout, [current[f] for f in map(layout.folder, touched) if f in current])
             added = tables.write(layout, merge(target, stamped, layout.keys, run_ts=at), touched, run_id)
-        return name, added, tables.read(layout, list({**current, **by_partition(added)}.values()))
+        ready = {**current, **by_partition(added)}
+        state, kept = states[name], {} if {name, states[name].name} & afresh else by_partition(published.get(states[name].name, []))
+        uncounted = {p: folder for p, folder in ready.items() if not kept or folder in added}
+        if uncounted:
+            mine = [c for c in config.checks if c.table == name]
+            fresh = quality.check_state(tables.read(layout, list(uncounted.values())), mine, layout.partitions)
+            anew = sorted({layout.values(folder)[: len(state.partitions)] for folder in uncounted.values()})
+            older = tables.read(state, [kept[f] for f in map(state.folder, anew) if f in kept])
+            counted = spark.createDataFrame([tuple(map(int, layout.values(f))) for f in uncounted.values()], _only(layout.schema, layout.partitions))
+            whole = older.join(counted, list(layout.partitions), "left_anti").unionByName(fresh)
+            kept |= by_partition(tables.write(state, whole, anew, run_id))
+        folders = {name: added, state.name: list(kept.values())}
+        return folders, tables.read(layout, list(ready.values())), tables.read(state, list(kept.values()))
 
     # Three independent jobs: started together, the short ones fill the tail of the long one.
     with ThreadPoolExecutor(len(sources)) as pool:
-        built = list(pool.map(build, sources))
-
-    result.report = quality.gate(quality.report({name: ready for name, _, ready in built}, config.checks))
-    if changed:
-        folders = {name: added for name, added, _ in built}
-        tables.publish(folders, at, {GOLD_BUILT_FROM: sorted(silver_now.values())}, list(layouts.values()), afresh)
+        built = dict(zip(sources, pool.map(build, sources)))
+
+    report = quality.report_from_state({name: state for name, (_, _, state) in built.items()}, config.checks)
+    result.report = quality.gate(report, _explain({name: ready for name, (_, ready, _) in built.items()}, config))
+    folders = {name: added for made, _, _ in built.values() for name, added in made.items()}
+    if changed or afresh:
+        notes = {GOLD_BUILT_FROM: sorted(silver_now.values())}
+        tables.publish(folders, at, notes, [*layouts.values(), *states.values()], afresh)
     result.gold_years = years
     return result
 
 
+def _state_layout(layout: Layout, checks: Sequence[quality.Check]) -> Layout:
+    """Where the counts of a table's checks are kept: a few rows per month, so a year of them is one folder.
+
+    Its columns change with the checks, and so does its fingerprint.
+    """
+    mine = [c for c in checks if c.table == layout.name]
+    return Layout(f"{layout.name}_checks", quality.state_schema(layout.schema, mine, layout.partitions), layout.partitions[:1])
+
+
+def _only(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    return T.StructType([schema[n] for n in names])
+
+
 def published_tables(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
     """Silver and the reporting tables as last published."""
     tables = TableSet(spark, config.root)
@@ -270,5 +300,16 @@ def register_views(spark: SparkSession, config: Config) -> None:
 
 
 def check(spark: SparkSession, config: Config) -> list:
-    """The checks over the published reporting tables; QualityError if one fails."""
-    return quality.gate(quality.report(published_tables(spark, config), config.checks))
+    """The checks over all rows of the published reporting tables; QualityError if one fails."""
+    ready = published_tables(spark, config)
+    return quality.gate(quality.report(ready, config.checks), _explain(ready, config))
+
+
+def _explain(tables: dict[str, DataFrame], config: Config) -> Callable[[list[str]], DataFrame | None]:
+    """For the gate: the first rows or groups that break the named checks."""
+
+    def explain(names: list[str]) -> DataFrame | None:
+        failed = [c for c in config.checks if c.name in names and not isinstance(c, quality.MinRows)]
+        return quality.all_offenders(tables, failed, mortality.gold_keys(config.entity)) if failed else None
+
+    return explain

@@ -173,6 +173,27 @@ def test_change_of_silver_loads_every_batch_again(spark, config, monkeypatch):
     assert [r for r in rows(table(spark, config, "silver")) if "2021" not in r.split("start_date")[0]] == before
 
 
+def test_checks_count_only_what_was_written(spark, config, monkeypatch):  # noqa: F811
+    from tallyforge.operators import quality
+
+    run(spark, config, landed(spark, years(2019, 2020)), DAYS[0])
+    counted, plain = [], quality.check_state
+
+    def watched(frame, checks, partitions):
+        counted.append(frame.select(*partitions).distinct().count())
+        return plain(frame, checks, partitions)
+
+    monkeypatch.setattr(quality, "check_state", watched)
+    result = run(spark, config, landed(spark, [record(2020, 5, 222222)]), DAYS[1])
+    assert sorted(counted) == [1, 1, 1] and len(result.report) == 15
+    with pytest.raises(quality.QualityError, match=r"trends_total_range: 1 rows outside 100000 to 500000 \(year=2020, month=6\)"):
+        run(spark, config, landed(spark, [record(2020, 6, 99999)]), DAYS[2])
+    config.checks = M.checks(low=1)
+    counted.clear()
+    assert len(run(spark, config, landed(spark, [record(2020, 6, 60000)]), DAYS[3]).report) == 15
+    assert sorted(counted) == [1, 1, 24], "another bound counts all months of its table again"
+
+
 # --- constraints ----------------------------------------------------------------------------------------------
 
 

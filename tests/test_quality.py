@@ -114,3 +114,73 @@ def test_two_groupings_of_one_key(spark):
     unique = next(c for c in M.checks() if c.name == "summary_unique")
     got = {r.check_name: r.violations for r in Q.report(clean(spark), [base, other, unique]).collect()}
     assert got == {"summary_group_size": 0, "per_cause": 0, "summary_unique": 0}
+
+
+# --- kept state and offenders ---------------------------------------------------------------------------------
+
+KEYS = M.gold_keys()
+
+
+def states(tables, checks):
+    return {n: Q.check_state(f, [c for c in checks if c.table == n], LAYOUTS[n].partitions) for n, f in tables.items()}
+
+
+def all_planted(spark):
+    tables = clean(spark)
+    for table, change, _ in PLANT.values():
+        tables[table] = change(tables[table])
+    return tables
+
+
+def test_report_from_state_equals_the_report(spark):
+    tables, checks = all_planted(spark), [*M.checks(), Q.MinRows("trends", "trends_rows", "completeness", "too small", 1000)]
+    whole = sorted(map(tuple, Q.report(tables, checks).collect()), key=str)
+    assert sorted(map(tuple, Q.report_from_state(states(tables, checks), checks).collect()), key=str) == whole
+    empty = {n: f.limit(0) for n, f in tables.items()}
+    assert all(r.passed for r in Q.report_from_state(states(empty, M.checks()), M.checks()).collect())
+
+
+def test_states_of_partitions_add_up(spark):
+    tables, checks = all_planted(spark), M.checks()
+    early = states({n: f.filter("year = 2020") for n, f in tables.items()}, checks)
+    late = states({n: f.filter("year > 2020") for n, f in tables.items()}, checks)
+    merged = {n: early[n].unionByName(late[n]) for n in early}
+    assert sorted(map(str, Q.report_from_state(merged, checks).collect())) == sorted(map(str, Q.report(tables, checks).collect()))
+    for name, frame in early.items():
+        mine = [c for c in checks if c.table == name]
+        assert frame.schema.simpleString() == Q.state_schema(LAYOUTS[name].schema, mine, LAYOUTS[name].partitions).simpleString()
+
+
+def test_state_changes_its_columns_with_the_checks(spark):
+    low, high = ([c for c in M.checks(low=n) if c.table == "trends"] for n in (1, 2))
+    schemas = [Q.state_schema(LAYOUTS["trends"].schema, checks, ("year", "month")) for checks in (low, high)]
+    assert schemas[0] != schemas[1]
+    per_month = Q.GroupSize("trends", "per_cause", "completeness", "x", ("year", "month"), ("cause",), 1)
+    with pytest.raises(ValueError, match="the key must contain cause"):
+        Q.state_schema(LAYOUTS["summary"].schema, [per_month], ("year",))
+
+
+def test_rows_without_a_period_are_not_after_the_first(spark):
+    rows = spark.createDataFrame([(None, 1, None), (2020, 1, None), (2021, 1, 5), (2021, 2, None)], "year int, month int, x int")
+    nulls = Q.NullOnlyInFirst("t", "nulls", "precision", "NULLs", "x", "year")
+    full = Q.FullGroups("t", "full", "completeness", "short", ("year", "month"), ("year",), "year", 2)
+    got = {r.check_name: r.violations for r in Q.report({"t": rows}, [nulls, full]).collect()}
+    assert got == {"nulls": 1, "full": 1}
+    state = {"t": Q.check_state(rows, [nulls, full], ("year",))}
+    assert {r.check_name: r.violations for r in Q.report_from_state(state, [nulls, full]).collect()} == got
+
+
+def test_first_offenders_are_named(spark):
+    tables = all_planted(spark)
+    found = Q.all_offenders(tables, M.checks(), KEYS, 2).collect()
+    assert {r.check_name for r in found} == set(PLANT) and all(r.nth <= 2 for r in found)
+    named = {(r.check_name, r.nth): r.offender for r in found}
+    assert named[("trends_unique", 1)] == "year=2020, month=1" and named[("trends_unique", 2)] == "year=2020, month=2"
+    assert named[("trends_full_years", 1)] == "year=2021" and named[("summary_pct_range", 1)] == "year=2020, cause=Cancer"
+
+
+def test_gate_names_offenders(spark):
+    tables, checks = all_planted(spark), M.checks()
+    explain = lambda names: Q.all_offenders(tables, [c for c in checks if c.name in names], KEYS)
+    with pytest.raises(Q.QualityError, match=r"trends_total_range: 2 rows outside 100000 to 500000 \(year=2020, month=4\) \(year=2021, month=4\)"):
+        Q.gate(Q.report(tables, checks), explain)

@@ -11,8 +11,9 @@ COLUMNS = "jurisdiction string, year int, month int, all_cause int, covid_19_und
 def impact(frame, entity):
     window = R.prior_year_window(frame, entity, "all_cause", "covid_19_underlying")
     join = R.prior_year_join(frame, entity, "all_cause", "covid_19_underlying")
-    a, b = sorted(map(tuple, window.collect())), sorted(map(tuple, join.collect()))
-    assert window.columns == join.columns and a == b
+    once = R.prior_year(frame, entity, "all_cause", "covid_19_underlying")
+    a, b, c = (sorted(map(tuple, form.collect())) for form in (window, join, once))
+    assert window.columns == join.columns == once.columns and window.dtypes == once.dtypes and a == b == c
     return {row[:-5]: row[-5:] for row in a}
 
 
@@ -43,6 +44,20 @@ def test_prior_year_without_entity_raises_on_repeated_months(spark):
         R.prior_year_join(frame, [], "all_cause", "covid_19_underlying").collect()
 
 
+@pytest.mark.parametrize("form", [R.prior_year, R.prior_year_window])
+def test_repeated_month_raises_in_every_form(spark, form):
+    frame = spark.createDataFrame([("A", 2019, 1, 1, 1), ("A", 2019, 1, 2, 1)], COLUMNS)
+    with pytest.raises(Exception, match="repeated key: .*year="):
+        form(frame, ["jurisdiction"], "all_cause", "covid_19_underlying").collect()
+
+
+def test_prior_year_takes_one_scan_and_one_exchange(spark, tmp_path):
+    spark.createDataFrame([("A", 2019, 1, 1, 1)], COLUMNS).write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    plan = R.prior_year(frame, [], "all_cause", "covid_19_underlying")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1 and "partial_max" in plan
+
+
 SILVER_COUNTS = ", ".join(f"{c} int" for c in M.COUNTS)
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from workload import planted, shapes
 
 ORDER_RECORDS = f"records AS ({shapes.ORDER_RECORDS_SQL})"
-MONTHS = f"months AS ({shapes.months_sql()})"
-OVERALL = f"months AS ({shapes.months_sql(chr(39) + 'ALL' + chr(39))})"
+MONTHS = f"months AS MATERIALIZED ({shapes.months_sql()})"
+OVERALL = f"months AS MATERIALIZED ({shapes.months_sql(chr(39) + 'ALL' + chr(39))})"
 EARLIER = f"earlier AS ({shapes.earlier_sql('months')})"
 LATER = f"later AS (SELECT * FROM months WHERE {shapes.LATER_FROM})"
 
@@ -61,11 +61,14 @@ TYPED_ORDERS = f"""typed AS (
     ({ANY_FLAG}) AS is_provisional
   FROM records f)"""
 
-TRENDS_SELECT = f"""year, month, all_cause AS total_deaths, diseases_of_heart AS heart_disease_deaths,
-  malignant_neoplasms AS cancer_deaths, covid_19_underlying AS covid_deaths, drug_overdose AS drug_overdose_deaths,
-  {pct("diseases_of_heart", "all_cause")} AS heart_disease_pct, {pct("malignant_neoplasms", "all_cause")} AS cancer_pct,
-  {pct("covid_19_underlying", "all_cause")} AS covid_pct, {pct("drug_overdose", "all_cause")} AS drug_overdose_pct,
-  is_provisional"""
+# measure, and its name in the monthly report; the shares follow the counts
+SHARES = [("diseases_of_heart", "heart_disease"), ("malignant_neoplasms", "cancer"), ("covid_19_underlying", "covid"), ("drug_overdose", "drug_overdose")]
+TRENDS_SELECT = ", ".join(
+    ["year", "month", "all_cause AS total_deaths"]
+    + [f"{c} AS {name}_deaths" for c, name in SHARES]
+    + [f"{pct(c, 'all_cause')} AS {name}_pct" for c, name in SHARES]
+    + ["is_provisional"]
+)
 TRENDS_COLUMNS = [
     "jurisdiction",
     "year",
@@ -107,21 +110,19 @@ def trends_of(source: str) -> str:
 
 
 def summary_of(source: str, keys: str) -> str:
-    parts = [
-        f"SELECT {keys}, '{name}' AS cause, CAST(SUM({c}) AS BIGINT) AS total_deaths, {mean(c)} AS avg_monthly_deaths,"
-        f" {pct(f'SUM({c})', 'SUM(all_cause)')} AS pct_of_all_deaths FROM {source} GROUP BY {keys}"
-        for c, name in CAUSE_OF.items()
-    ]
-    return " UNION ALL ".join(parts)
+    """Grouped once; then one struct per cause, unnested."""
+    sums = ", ".join(f"SUM({c}) AS s_{c}, {mean(c)} AS a_{c}, {pct(f'SUM({c})', 'SUM(all_cause)')} AS p_{c}" for c in CAUSE_OF)
+    causes = ", ".join(f"{{'cause': '{name}', 's': CAST(s_{c} AS BIGINT), 'a': a_{c}, 'p': p_{c}}}" for c, name in CAUSE_OF.items())
+    return f"""SELECT {keys}, x.cause, x.s AS total_deaths, x.a AS avg_monthly_deaths, x.p AS pct_of_all_deaths
+      FROM (SELECT {keys}, unnest([{causes}]) AS x FROM (SELECT {keys}, {sums} FROM {source} GROUP BY {keys}) AS grouped) AS long"""
 
 
-def impact_of(source: str, keys: str = "cur.jurisdiction, cur.year, cur.month") -> str:
-    return f"""SELECT {keys}, cur.all_cause AS total_deaths, cur.covid_19_underlying AS covid_deaths,
-      cur.all_cause - COALESCE(cur.covid_19_underlying, 0) AS non_covid_deaths,
-      {pct("cur.covid_19_underlying", "cur.all_cause")} AS covid_pct,
-      CASE WHEN prev.all_cause IS NULL THEN NULL ELSE cur.all_cause - prev.all_cause END AS excess_vs_prev_year
-    FROM {source} cur LEFT JOIN {source} prev
-      ON prev.year = cur.year - 1 AND prev.month = cur.month AND prev.jurisdiction = cur.jurisdiction"""
+def impact_of(source: str, keys: str = "jurisdiction, year, month") -> str:
+    """The prior year's total is looked up by a range over the years of one month."""
+    return f"""SELECT {keys}, all_cause AS total_deaths, covid_19_underlying AS covid_deaths,
+      all_cause - COALESCE(covid_19_underlying, 0) AS non_covid_deaths, {pct("covid_19_underlying", "all_cause")} AS covid_pct,
+      all_cause - MAX(all_cause) OVER (PARTITION BY jurisdiction, month ORDER BY year RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS excess_vs_prev_year
+    FROM {source}"""
 
 
 def upsert_sql(columns: list[str], keys: list[str], first_write: tuple[str, ...] = ()) -> str:
@@ -141,7 +142,7 @@ UPSERT_SILVER = f"""WITH {MONTHS}, old AS ({shapes.earlier_sql("months")}), new
 
 
 def upsert_gold(make, columns: list[str], keys: list[str]) -> str:
-    return f"""WITH {MONTHS}, {EARLIER}, {LATER}, old AS ({make("earlier")}), new AS ({make("later")})
+    return f"""WITH {MONTHS}, {EARLIER}, {LATER}, old AS MATERIALIZED ({make("earlier")}), new AS MATERIALIZED ({make("later")})
       {upsert_sql(columns, keys)}"""
 
 
@@ -214,7 +215,7 @@ ORACLES: dict[str, str] = {
     "cause_summary_by_entity": f"WITH {MONTHS} {summary_of('months', 'jurisdiction, year')}",
     "prior_year_impact": f"WITH {MONTHS} {impact_of('months')}",
     "prior_year_window": f"WITH {MONTHS} {impact_of('months')}",
-    "prior_year_single": f"WITH {OVERALL} {impact_of('months', 'cur.year, cur.month')}",
+    "prior_year_single": f"WITH {OVERALL} {impact_of('months', 'year, month')}",
     "scalar_safe_int": f"""WITH {ORDER_RECORDS} SELECT CAST(order_key AS BIGINT) AS order_key, {as_int("year")} AS year_value,
       {as_int("month")} AS month_value, {as_int("all_cause")} AS all_cause_value FROM records""",
     "scalar_safe_date": f"""WITH {ORDER_RECORDS} SELECT CAST(order_key AS BIGINT) AS order_key,
@@ -356,6 +357,32 @@ ORACLES["dq_failing_groups"] = f"""
   SELECT 'trends_full_years' AS check_name, * FROM (WITH {PLANTED["trends"]} {SHORT_YEARS}) AS short_years
   UNION ALL SELECT 'summary_group_size', * FROM (WITH {PLANTED["summary"]} {WRONG_SIZES}) AS wrong_sizes"""
 
+ORACLES["dq_incremental"] = ORACLES["dq_report"]
+
+# The columns that name what breaks a check, and the query that finds it in `t`
+MONTHLY, YEARLY, CAUSED = "jurisdiction, year, month", "jurisdiction, year", "jurisdiction, year, cause"
+BREAKS = {
+    name: (MONTHLY if table != "summary" else CAUSED, f"SELECT * FROM t {counting[counting.index('WHERE'):]}")
+    for name, (table, kind, message, counting) in CHECKS.items()
+    if kind not in ("uniqueness", "completeness")
+}
+BREAKS |= {
+    f"{table}_unique": (keys, f"SELECT {keys} FROM t GROUP BY {keys} HAVING COUNT(*) > 1")
+    for table, keys in (("trends", MONTHLY), ("summary", CAUSED), ("impact", MONTHLY))
+}
+BREAKS |= {"trends_full_years": (YEARLY, SHORT_YEARS), "summary_group_size": (YEARLY, WRONG_SIZES)}
+
+
+def offenders_sql(name: str) -> str:
+    table, (keys, breaking) = CHECKS[name][0], BREAKS[name]
+    text = " || ', ' || ".join(f"'{k}=' || CAST({k} AS VARCHAR)" for k in keys.split(", "))
+    return f"""WITH {PLANTED[table]}, found AS (SELECT DISTINCT {keys} FROM ({breaking}) AS b)
+      SELECT '{table}' AS table_name, '{name}' AS check_name, CAST(row_number() OVER (ORDER BY {keys}) AS INTEGER) AS nth,
+        {text} AS offender FROM found ORDER BY {keys} LIMIT 3"""
+
+
+ORACLES["dq_offenders"] = " UNION ALL ".join(f"SELECT * FROM ({offenders_sql(name)}) AS {name}" for name in CHECKS)
+
 # --- the whole chain ------------------------------------------------------------------------------------------
 
 # After both loads a year up to 1996 is as the earlier load left it, and a later one as the later load made it.

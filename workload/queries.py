@@ -16,7 +16,7 @@ from tallyforge.plans import mortality
 from tallyforge.plans.run import Config, Result, build_gold, ingest, load_silver, run
 from tallyforge.session import work_folder
 from tallyforge.sources import bronze, landing
-from tallyforge.sources.versions import TableSet
+from tallyforge.sources.versions import Layout, TableSet, new_run
 from workload import planted, shapes
 
 ENTITY = ("jurisdiction",)
@@ -247,7 +247,7 @@ def cause_summary_by_entity(spark, sf_dir):
 
 @query
 def prior_year_impact(spark, sf_dir):
-    return reporting.prior_year_join(shapes.supplier_months(spark, sf_dir), ENTITY, "all_cause", "covid_19_underlying")
+    return reporting.prior_year(shapes.supplier_months(spark, sf_dir), ENTITY, "all_cause", "covid_19_underlying")
 
 
 @query
@@ -366,15 +366,42 @@ QUERIES.update({f"dq_{check.name}": _check_query(check) for check in supplier_ch
 @query
 def dq_report(spark, sf_dir):
     """All fifteen checks over written tables, as they run before a publication."""
-    folder = work_folder(spark, "dq_report")
+    return quality.report(_planted_tables(spark, sf_dir, "dq_report"), supplier_checks())
+
+
+def _planted_tables(spark, sf_dir, label: str) -> dict[str, DataFrame]:
+    folder = work_folder(spark, label)
 
     def stored(name: str, rows: DataFrame) -> DataFrame:
         rows.write.parquet(f"{folder}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
     months = stored("silver", shapes.supplier_months(spark, sf_dir))
-    tables = {name: stored(name, _planted(months, name)) for name in ("trends", "summary", "impact")}
-    return quality.report(tables, supplier_checks())
+    return {name: stored(name, _planted(months, name)) for name in ("trends", "summary", "impact")}
+
+
+@query
+def dq_incremental(spark, sf_dir):
+    """Part of the years is loaded again in full; only its partitions are counted anew, and the report is that of all rows."""
+    tables, states = TableSet(spark, work_folder(spark, "dq_incremental")), {}
+    for name, rows in _planted_tables(spark, sf_dir, "dq_incremental").items():
+        partitions = mortality.gold_layouts(ENTITY)[name].partitions
+        checks = [c for c in supplier_checks() if c.table == name]
+        table = Layout(name, rows.schema, partitions)
+        kept = Layout(f"{name}_checks", quality.state_schema(rows.schema, checks, partitions), partitions)
+        for load in (rows.filter("year <= 1998 OR total_deaths % 2 = 0"), rows.filter("year > 1998")):
+            values = [tuple(r) for r in load.select(*partitions).distinct().collect()]
+            folders = tables.write(table, load, values, new_run())
+            state = quality.check_state(tables.read(table, folders), checks, partitions)
+            tables.publish({name: folders, kept.name: tables.write(kept, state, values, new_run())}, shapes.RUN_TS)
+        states[name] = tables.read(kept)
+    return quality.report_from_state(states, supplier_checks())
+
+
+@query
+def dq_offenders(spark, sf_dir):
+    """The first three rows or groups that break each check."""
+    return quality.all_offenders(_planted_tables(spark, sf_dir, "dq_offenders"), supplier_checks(), mortality.gold_keys(ENTITY))
 
 
 @query
