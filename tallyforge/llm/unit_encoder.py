@@ -2,20 +2,22 @@
 
 The pre-tokeniser's pattern never lets a token hold a blank after a non-blank, nor a mark after a letter or digit, so a
 text may be cut before every space or newline that follows a non-blank, and before every full stop or comma that follows
-a letter or digit: units on both sides encode as they would in the whole text. Natural text repeats its units, so each
-task keeps those it has met, and only new ones go to the library.
+a letter or digit: units on both sides encode as they would in the whole text. Special tokens hold none of these, so they
+stay inside a unit and are what the library makes of them. Natural text repeats some units and holds many only once, so
+each worker keeps those that it meets a second time, and only others go to the library.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
-#: Units that a task keeps; when full, it starts anew. Bounds memory only, ids are the same.
-MOST_UNITS = 600_000
+#: Units that a worker keeps, of about 210 bytes each; when full, it starts anew. Bounds memory only, ids are the same.
+MOST_UNITS = 250_000
+#: Marks of units met once, a byte each; when half of them are set, they start anew.
+MARKS = 1 << 22
 #: A unit longer than this is encoded each time that it occurs.
 LONGEST_KEPT = 64
 #: Units sent to the library at a time.
@@ -61,33 +63,42 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._known: dict[str, bytes] = {}
+        self._met, self._marked = bytearray(MARKS), 0
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        found = {}
+        found: dict[str, bytes] = {}
         for start in range(0, len(new), ENCODED_AT_ONCE):
             part = new[start : start + ENCODED_AT_ONCE]
-            for unit, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[unit] = np.array(e.ids, "<u4").tobytes()
+            made = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            found.update(zip(part, [array("I", e.ids).tobytes() for e in made]))
         return found
 
+    def _keep(self, found: dict[str, bytes]) -> None:
+        """Of the units just encoded, those that were met before."""
+        if len(self._known) > MOST_UNITS:
+            self._known.clear()
+        for unit, ids in found.items():
+            place = hash(unit) % MARKS
+            if not self._met[place]:
+                self._met[place] = 1
+                self._marked += 1
+            elif len(unit) <= LONGEST_KEPT:
+                self._known[unit] = ids
+        if self._marked > MARKS // 2:
+            self._met, self._marked = bytearray(MARKS), 0
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if any(len(text) > BLOCK for text in texts):
             return [b"".join([self._encode([block])[0] for block in blocks(text)]) for text in texts]
         return self._encode(texts)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [units(text) for text in texts]
-        new = [u for u in set().union(*cut) if u not in self._known]
-        found = self._learn(new)
-        if len(self._known) + len(found) > MOST_UNITS:
-            kept = {u: self._known[u] for u in set().union(*cut) if u in self._known}
-            self._known.clear()
-            found |= kept
-        have = self._known | found if any(len(u) > LONGEST_KEPT for u in found) else self._known
-        self._known.update((u, b) for u, b in found.items() if len(u) <= LONGEST_KEPT)
-        return [b"".join([have[u] for u in pieces]) for pieces in cut]
+        cut, known = [units(text) for text in texts], self._known
+        found = self._learn([u for u in set().union(*cut) if u not in known])
+        out = [b"".join([known.get(u) or found[u] for u in pieces]) for pieces in cut]
+        self._keep(found)
+        return out
 
 
 @lru_cache(maxsize=2)
