@@ -105,7 +105,9 @@ def test_toxicity(spark):
 
 
 def test_toxicity_of_odd_rows(spark):
-    rows = [(i, "you utter nitwit and dolt" if i % 2 else f"a calm remark about item {i}", "x") for i in range(200)]
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    own = [" ".join(f"{(i * 7919 + k * 31337) ** 2 + 104729:x}".translate(letters) for k in range(9)) for i in range(200)]
+    rows = [(i, f"{own[i]} nitwit dolt" if i % 2 else f"{own[i]} calm remark", "x") for i in range(200)]  # alike texts count once
     rows += [(300, None, "x"), (301, "", "x"), (None, "nitwit dolt", "x"), (1, rows[1][1], "x"), (302, "calm remark " * 50_000, "x")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (5, None), (7, 1)], "doc_id bigint, toxic int")
