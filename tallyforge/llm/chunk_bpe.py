@@ -1,15 +1,18 @@
 """Byte-level BPE over overlapping chunks, and decoding by concatenation of the tokens' bytes.
 
-A text longer than one chunk is cut into chunks that overlap. Tasks pre-tokenise chunks side by side, each from its own
-start. Where the boundaries of a chunk meet those of its predecessor inside their overlap, both go on alike, so the text
-is cut there. If all joints before were found, the cut is a boundary of the whole text; from the first joint on where
-none is found, the rest of the text stays one piece. Pieces are encoded on their own and their ids joined.
+A text is cut into chunks that overlap, and each is pre-tokenised from its own start. Where the boundaries of a chunk meet
+those of its predecessor inside their overlap, both go on alike, so the text is cut there. Where they don't meet, the walk
+from the last known boundary goes on to the next overlap. Pieces are encoded on their own and their ids joined.
+
+Texts of a size that one task handles are chunked in the task that reads them. Longer ones are dealt out in large chunks
+first; their pieces are encoded wherever they are, by small chunks again.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,6 +26,8 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import map_slices, tasks, texts_of
 from tallyforge.llm.unit_encoder import vocabulary
 
+#: Characters of the longest pre-token that is spelt out in the pattern, such as 'll.
+LONGEST_MARK = 3
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 CHUNKS = "doc_id bigint, text_key string, copies bigint, i int, at bigint, chunk string, head array<bigint>, tail array<bigint>"
 PIECES = "doc_id bigint, text_key string, copies bigint, piece bigint, n_tokens bigint, ids binary, raw binary"
@@ -30,8 +35,12 @@ PIECES = "doc_id bigint, text_key string, copies bigint, piece bigint, n_tokens
 
 @dataclass(frozen=True)
 class Chunking:
+    """`chunk` and `overlap`: characters of the chunks that are dealt over tasks; `small` and `margin`: those inside a task."""
+
     chunk: int = 65_536
     overlap: int = 2_048
+    small: int = 2_048
+    margin: int = 192
     ranks: str = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -55,20 +64,47 @@ def pre_tokens():
     return regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-def encode(text: str, path: str) -> tuple[bytes, bytes, int]:
-    """Ids of a piece as little-endian unsigned 32-bit, the bytes they decode to, and how many there are."""
+def boundaries(text: str, start: int, stop: int) -> list[int]:
+    """Where pre-tokens begin if the text began at `start`, but for the last characters that only what follows decides on."""
+    sure = stop - LONGEST_MARK if stop < len(text) else stop
+    return [start + m.start() for m in pre_tokens().finditer(text[start:stop]) if start + m.start() <= sure]
+
+
+def pieces(text: str, how: Chunking) -> list[str]:
+    """The text cut at true boundaries of pre-tokens, once per chunk where two chunks agree on one.
+
+    Blanks are pre-tokens that look at what follows, so no cut is made behind one. `known` are the true boundaries up to the end of the chunk before: those of the first chunk are, and those of a later
+    one are from the first boundary on that it shares with them.
+    """
+    if len(text) <= how.small:
+        return [text] if text else []
+    cuts, known = [0], boundaries(text, 0, how.small + how.margin)
+    for at in range(how.small, len(text), how.small):
+        own = boundaries(text, at, at + how.small + how.margin)
+        behind = {b for b in known[bisect_left(known, at) :] if not text[b - 1].isspace()}
+        if (met := next((b for b in own if b in behind), None)) is not None:
+            cuts.append(met)
+            known = own[bisect_left(own, met) :]
+        else:
+            known = boundaries(text, known[-1], at + how.small + how.margin) or known[-1:]
+    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)]) if a < b]
+
+
+def encode(text: str, path: str, how: Chunking) -> tuple[bytes, bytes, int]:
+    """Ids as little-endian unsigned 32-bit, the bytes they decode to, and how many there are."""
     made, tokens = encoding(path)
-    ids = made.encode_ordinary(text)
+    ids = [i for piece in pieces(text, how) for i in made.encode_ordinary(piece)]
     return np.array(ids, "<u4").tobytes(), b"".join([tokens[i] for i in ids]), len(ids)
 
 
 def joints(chunk: str, at: int, size: int, overlap: int) -> tuple[list[int], list[int]]:
     """Boundaries that the chunk's own pre-tokens have in its first `overlap` characters, and after its first `size`.
 
-    The end of the last pre-token is none of them, for the text may go on behind the chunk.
+    The end of the last pre-token is none of them, for the text may go on behind the chunk, and neither are those behind a
+    blank, which would be another pre-token if the text ended there.
     """
     starts = [m.start() for m in pre_tokens().finditer(chunk)]
-    return [at + s for s in starts if s < overlap], [at + s for s in starts if s >= size]
+    return [at + s for s in starts if s < overlap], [at + s for s in starts if size <= s <= len(chunk) - LONGEST_MARK and not chunk[s - 1].isspace()]
 
 
 def chunked(long: DataFrame, how: Chunking) -> DataFrame:
@@ -115,7 +151,7 @@ def stitched(chunks: DataFrame, how: Chunking) -> DataFrame:
 
 def encoded(pieces: DataFrame, how: Chunking) -> DataFrame:
     def ids_of(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = [encode(text, vocabulary(how.ranks)) for text in texts_of(part)]
+        found = [encode(text, vocabulary(how.ranks), how) for text in texts_of(part)]
         columns = [pa.array([f[2] for f in found], pa.int64()), *[pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)]]
         names = ["doc_id", "text_key", "copies", "piece"]
         return pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *columns], [*names, "n_tokens", "ids", "raw"])
@@ -131,13 +167,13 @@ def chunk_bpe(documents: DataFrame, how: Chunking = Chunking()) -> DataFrame:
     """Number and sha256 of every text's ids, and the sha256 of the bytes that they decode to.
 
     A null text is an empty one: no ids. Repeated rows are encoded once if long, and returned as often as they occur;
-    null doc_ids and ties need no rule; other columns are ignored; an empty table gives no rows. Texts of one chunk are
-    encoded where they are read; only longer ones are shuffled, so that their chunks are spread over the tasks.
+    null doc_ids and ties need no rule; other columns are ignored; an empty table gives no rows. All texts are encoded by
+    overlapping chunks: in the task that reads them, and very long ones spread over the tasks by large chunks first.
     """
     documents = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def digest(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = [encode(text, vocabulary(how.ranks)) for text in texts_of(part)]
+        found = [encode(text, vocabulary(how.ranks), how) for text in texts_of(part)]
         hashes = [pa.array([hashlib.sha256(f[k]).hexdigest() for f in found], pa.string()) for k in (0, 1)]
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array([f[2] for f in found], pa.int64()), *hashes], [f.split()[0] for f in SCHEMA.split(", ")]
