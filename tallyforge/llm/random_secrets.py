@@ -130,13 +130,15 @@ def band_of(length: int) -> int:
 def scan(text: str) -> tuple[list, list, Counter]:
     """Base spans, candidates outside of them, and the words' counts by band and score."""
     spans = base_spans(text)
-    taken = sorted((s, e) for s, _, e in spans)
+    taken, at, reach = sorted((s, e) for s, _, e in spans), 0, 0
     candidates, words = [], Counter()
     for m in CANDIDATE.finditer(text):
         token = m[0]
+        while at < len(taken) and taken[at][0] < m.end():  # spans and candidates come in order: `reach` is where the former end
+            reach, at = max(reach, taken[at][1]), at + 1
         if is_word(token):
             words[band_of(len(token)), score(token)[1]] += 1
-        elif len(token) >= LEAST and not any(s < m.end() and m.start() < e for s, e in taken):
+        elif len(token) >= LEAST and reach <= m.start():
             if any(c.isdigit() for c in token):
                 name, value = score(token)
                 candidates.append((m.start(), m.end(), name, band_of(len(token)), value))
