@@ -8,6 +8,7 @@ frame out of the body, without touching its neighbours.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,13 +30,15 @@ VOLUMES = (
 )
 #: One entry of the index.
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u4"), ("length", "<u4"), ("tokens", "<u4")])
+#: Places that hashes are dealt to, to choose a share of them.
+PLACES = 1_000_000_000
 RESULT = "doc_id bigint, part int, volume int, before bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 @dataclass(frozen=True)
 class Format:
-    """`sample_docs` documents of least hash, up to `sample_bytes` of each, train the dictionary: that bounds what the
-    driver holds. Ids are stored in 16 bits, so the vocabulary may hold 65,536."""
+    """About `sample_docs` documents chosen by a hash, up to `sample_bytes` characters of each, train the dictionary: that
+    bounds what the driver gets. Ids are stored in 16 bits, so the vocabulary may hold 65,536."""
 
     end_id: int = 2
     tokenizer: str = "byte_bpe_50k.json"
@@ -55,9 +58,16 @@ def serialized(ids: bytes) -> bytes:
 
 
 def train(documents: DataFrame, how: Format = Format()) -> bytes:
-    """A dictionary from the serialized ids of a bounded sample. Few documents or equal ones give a raw-content one."""
-    sample = documents.filter("text IS NOT NULL").select("text", F.xxhash64("text", "doc_id").alias("h"))
-    texts = [r.text for r in sample.orderBy("h").limit(how.sample_docs).select(F.substring("text", 1, how.sample_bytes).alias("text")).collect()]
+    """A dictionary from the serialized ids of a bounded sample. Few documents or equal ones give a raw-content one.
+
+    The share of hashes that are sampled follows from the number of documents, and tasks cut the texts before they send
+    them. Copies of one row have one hash, so the sample is limited too; which of its rows are left out then is open.
+    """
+    rows = documents.filter("text IS NOT NULL").select("doc_id", F.substring("text", 1, how.sample_bytes).alias("text"))
+    share = min(1.0, how.sample_docs / max(1, rows.count()))
+    place = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(PLACES))
+    sample = rows.filter(place < math.ceil(share * PLACES)).select("text").limit(2 * how.sample_docs)
+    texts = sorted(r.text for r in sample.collect())
     parts = [serialized(ids) for ids in encoder(vocabulary(how.tokenizer)).encode(texts)]
     parts = [p[i : i + 2048] for p in parts for i in range(0, len(p), 2048)]
     try:
@@ -77,8 +87,8 @@ def dictionary_hash(raw: bytes) -> str:
 def write_ids(documents: DataFrame, path: str, how: Format = Format()) -> None:
     """Volumes in ascending order of doc_id under `path`/volumes, the dictionary under `path`/dictionary.
 
-    Rows are dealt by ranges of doc_id and sorted before they are encoded; null doc_ids come first. A null text is
-    empty. Tasks hold one volume at a time.
+    Rows are dealt by ranges of doc_id and sorted before they are encoded; null doc_ids come first. Rows of one doc_id, or
+    without any, are dealt on by the beginnings of their texts. A null text is empty. Tasks hold one volume at a time.
     """
     spark = documents.sparkSession
     raw = train(documents, how)
@@ -109,8 +119,8 @@ def write_ids(documents: DataFrame, path: str, how: Format = Format()) -> None:
         if entries:
             yield closed()
 
-    ordered = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ordered = ordered.repartitionByRange(tasks(spark), "doc_id").sortWithinPartitions("doc_id")
+    ordered = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64(F.substring("text", 1, 256)).alias("tie"))
+    ordered = ordered.repartitionByRange(tasks(spark), "doc_id", "tie").sortWithinPartitions("doc_id").select("doc_id", "text")
     ordered.mapInArrow(run, VOLUMES).write.option("compression", "none").parquet(f"{path}/volumes")
 
 
