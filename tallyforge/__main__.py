@@ -13,11 +13,12 @@ from tallyforge.plans import mortality
 from tallyforge.plans import run as stages
 from tallyforge.session import build_session
 from tallyforge.sources.landing import read_landed
+from tallyforge.sources.versions import TableSet
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tallyforge", description="Layered monthly tables")
-    parser.add_argument("stage", choices=["run", "ingest", "silver", "gold", "check"])
+    parser.add_argument("stage", choices=["run", "ingest", "silver", "gold", "rebuild", "check", "expire"])
     parser.add_argument("--root", required=True, help="shared folder of the tables")
     parser.add_argument("--landing", help="folder or file of landed JSON records")
     parser.add_argument("--layout", choices=["lines", "array"], default="lines")
@@ -27,6 +28,8 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--by-jurisdiction", action="store_true", help="report on each jurisdiction")
     parser.add_argument("--on-duplicate", choices=["error", "last"], default="error")
     parser.add_argument("--null-jurisdiction", choices=["error", "reject"], default="error")
+    parser.add_argument("--on-violation", choices=["error", "quarantine"], default="error", help="rows that break a constraint of silver")
+    parser.add_argument("--keep", type=int, default=3, help="publications whose folders `expire` leaves")
     parser.add_argument("--typed-json", action="store_true", help="honour JSON numbers and booleans")
     parser.add_argument("--low", type=int, default=mortality.TOTAL_LOW)
     parser.add_argument("--high", type=int, default=mortality.TOTAL_HIGH)
@@ -47,6 +50,7 @@ def main(given: list[str] | None = None) -> int:
         entity=entity,
         on_duplicate=chosen.on_duplicate,
         null_jurisdiction=chosen.null_jurisdiction,
+        on_violation=chosen.on_violation,
         typed_json=chosen.typed_json,
         checks=mortality.checks(entity, chosen.low, chosen.high),
     )
@@ -62,8 +66,11 @@ def main(given: list[str] | None = None) -> int:
             result = stages.ingest(spark, config, landed, at)
         elif chosen.stage == "silver":
             result = stages.load_silver(spark, config, None, at)
-        elif chosen.stage == "gold":
-            result = stages.build_gold(spark, config, stages.Result(batch_id=""), at)
+        elif chosen.stage in ("gold", "rebuild"):
+            result = stages.build_gold(spark, config, stages.Result(batch_id=""), at, rebuild=chosen.stage == "rebuild")
+        elif chosen.stage == "expire":
+            print("\n".join(TableSet(spark, config.root).expire(chosen.keep)))
+            result = stages.Result(batch_id="")
         else:
             result = stages.Result(batch_id="", report=stages.check(spark, config))
     except QualityError as failed:

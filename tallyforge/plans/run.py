@@ -236,8 +236,8 @@ def build_gold(
         "impact": (lambda: only(mortality.impact(read(needed), entity), followed), followed),
     }
 
-    def build(name: str) -> tuple[dict[str, list[str]], DataFrame, DataFrame]:
-        """Folders added to the table and to its check state, and both as they will be."""
+    def build(name: str) -> tuple[dict[str, list[str]], list[str], DataFrame]:
+        """Folders added to the table and to its check state, all folders of the table, and the state as it will be."""
         layout, current = layouts[name], {} if name in afresh else by_partition(published.get(name, []))
         rows, touched = sources[name]
         added = []
@@ -257,14 +257,15 @@ def build_gold(
             whole = older.join(counted, list(layout.partitions), "left_anti").unionByName(fresh)
             kept |= by_partition(tables.write(state, whole, anew, run_id))
         folders = {name: added, state.name: list(kept.values())}
-        return folders, tables.read(layout, list(ready.values())), tables.read(state, list(kept.values()))
+        return folders, list(ready.values()), tables.read(state, list(kept.values()))
 
     # Three independent jobs: started together, the short ones fill the tail of the long one.
     with ThreadPoolExecutor(len(sources)) as pool:
         built = dict(zip(sources, pool.map(build, sources)))
 
     report = quality.report_from_state({name: state for name, (_, _, state) in built.items()}, config.checks)
-    result.report = quality.gate(report, _explain({name: ready for name, (_, ready, _) in built.items()}, config))
+    ready = lambda: {name: tables.read(layouts[name], folders) for name, (_, folders, _) in built.items()}
+    result.report = quality.gate(report, _explain(ready, config))
     folders = {name: added for made, _, _ in built.values() for name, added in made.items()}
     if changed or afresh:
         notes = {GOLD_BUILT_FROM: sorted(silver_now.values())}
@@ -302,14 +303,14 @@ def register_views(spark: SparkSession, config: Config) -> None:
 def check(spark: SparkSession, config: Config) -> list:
     """The checks over all rows of the published reporting tables; QualityError if one fails."""
     ready = published_tables(spark, config)
-    return quality.gate(quality.report(ready, config.checks), _explain(ready, config))
+    return quality.gate(quality.report(ready, config.checks), _explain(lambda: ready, config))
 
 
-def _explain(tables: dict[str, DataFrame], config: Config) -> Callable[[list[str]], DataFrame | None]:
-    """For the gate: the first rows or groups that break the named checks."""
+def _explain(tables: Callable[[], dict[str, DataFrame]], config: Config) -> Callable[[list[str]], DataFrame | None]:
+    """For the gate: the first rows or groups that break the named checks. The tables are opened only then."""
 
     def explain(names: list[str]) -> DataFrame | None:
         failed = [c for c in config.checks if c.name in names and not isinstance(c, quality.MinRows)]
-        return quality.all_offenders(tables, failed, mortality.gold_keys(config.entity)) if failed else None
+        return quality.all_offenders(tables(), failed, mortality.gold_keys(config.entity)) if failed else None
 
     return explain

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CLUSTER_CONF = {
+    "spark.sql.ansi.enabled": "true",  # numbers that do not fit raise instead of wrapping around
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

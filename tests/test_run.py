@@ -102,8 +102,8 @@ def test_expired_folders_are_deleted(spark, config):
     before = {n: rows(table(spark, config, n)) for n in names}
     tables = TableSet(spark, config.root)
     gone = tables.expire(keep=3)
-    assert len(gone) == 24 + 24 + 2 + 24 and all(not path_exists(spark, f"{config.root}/{folder}") for folder in gone)
-    assert {folder.split("/")[0] for folder in gone} == set(names)
+    assert len(gone) == 24 + 24 + 2 + 24 + 3 * 2 and all(not path_exists(spark, f"{config.root}/{folder}") for folder in gone)
+    assert {folder.split("/")[0] for folder in gone} == {*names, "trends_checks", "summary_checks", "impact_checks"}
     assert tables.expire(keep=3) == [] and before == {n: rows(table(spark, config, n)) for n in names}
     assert not path_exists(spark, f"{config.root}/never") and tables.published()[0] == 6
 
@@ -192,6 +192,9 @@ def test_stages_from_the_command_line(spark, folder, capsys):
     register_views(spark, Config(f"{folder}/tables", "", ""))
     assert spark.sql("SELECT count(*) n FROM trends JOIN impact USING (year, month)").first().n == 24
     assert main(["check", *place, "--high", "200001"]) == 1
+    assert main(["rebuild", *place]) == 0 and main(["expire", *place, "--keep", "1"]) == 0
+    printed = capsys.readouterr().out
+    assert "gold_years=[2019, 2020]" in printed and "trends/year=2019/month=1/run=" in printed
 
 
 # --- raw table and landing ------------------------------------------------------------------------------------
