@@ -7,9 +7,11 @@ one part that is not empty, and meet there. A second sketch flips one bit per sh
 sketches is at most the symmetric difference, so pairs that are farther apart are dropped unseen. The rest is verified
 with the shingles themselves.
 
-Only what joins components is compared. First every document meets the least one that shares a part with it, and the one
-of those least ones that shares most; then, in parts whose documents are still in several components, all pairs across
-components meet.
+Documents that share a part meet in the star of the part's least document, once however many parts they share, and all
+pairs of a star are compared by their sketches. Only what joins components is verified: first a spanning forest of each
+star's near pairs, the nearest first; then another one of the pairs whose ends are still in different components; at last
+all pairs that are left between components. Verified pairs so grow with the documents in stars, not with their square, but
+for pairs that are near and do not link.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyforge.llm.bitmask_language import mixed
@@ -30,14 +33,23 @@ from tallyforge.llm.common import map_slices, slices, tasks, texts_of, written
 from tallyforge.llm.components import components
 
 WORDS = 5
-KEYS, MEMBERS, PAIRS, DOCUMENTS = 0, 1, 2, 3
+KEYS, MEMBERS, DOCUMENTS = 0, 1, 2
 PACKED = "slice int, what int, x binary, y binary, doc_id bigint, n bigint, node bigint, sketch binary"
 #: A task hands over its keys when it has so many, or so many documents.
 MOST_KEYS, MOST_DOCUMENTS = 2_000_000, 60_000
 #: From so many documents of one hand-over on, a key's documents bypass its slice: only the first goes there.
 HOT = 64
-#: Parts with more documents than this are compared in blocks of about this size.
-BLOCK = 256
+#: Stars with more documents than this are compared in blocks of about this size.
+BLOCK = 2048
+#: Sketches compared at a time, and near pairs that a task holds before it looks for a forest of them.
+AT_ONCE, MOST_PAIRS = 1 << 16, 1 << 20
+#: Parts with fewer documents than this are never left out.
+FREQUENT = 4
+#: Rounds in which only forests of the near pairs are verified, before all that are left.
+FOREST_ROUNDS = 2
+#: Places of the filter that decides which texts are read again: its size is fixed, and it lets few others through.
+FILTER_PLACES, FILTER_ROW = 1 << 23, 1 << 15
+NEAR = "bin bigint, forest boolean, x binary, y binary"
 _BLANK = np.zeros(256, bool)
 _BLANK[list(b" \t\n\v\f\r")] = True
 _U = np.uint64
@@ -98,32 +110,41 @@ def edges_of(percent: int, upto: int) -> list[int]:
     return ends
 
 
-def parts_of(band: int, ends: list[int], join: Join) -> tuple[int, int]:
-    """Parts in a band, and how many of them a link may change. Some more, because empty parts prove nothing."""
+def parts_of(band: int, ends: list[int], join: Join) -> int:
+    """Parts in a band: as many as a link may change, and some more, because empty parts prove nothing."""
     changed = join.difference(2 * (ends[band + 1] - 1))
-    return changed + 3 + changed // 32, changed
+    return changed + 3 + changed // 32
 
 
-def part_keys(hashes: np.ndarray, join: Join) -> np.ndarray:
-    """Keys in the document's own band and the next. Empty parts give keys only where the others don't suffice."""
+def part_keys(hashes: np.ndarray, join: Join) -> tuple[np.ndarray, bytes]:
+    """Keys in the document's own band and the next, and for even and odd bands how many of them may be left out.
+
+    Empty parts give keys only where a link may change all others. Else it leaves more of them equal than may be left out,
+    so if every document leaves out its most frequent ones, by an order that all have in common, the rarest part that two
+    linked documents share stays. The second bit of a key tells whether the band is odd.
+    """
     ends = edges_of(join.percent, 1 << max(10, (2 * len(hashes)).bit_length()))
     own = bisect_right(ends, len(hashes)) - 1
-    found = []
+    found, spare = [], [0, 0]
     for band in (own, own + 1):
-        parts, changed = parts_of(band, ends, join)
+        parts = parts_of(band, ends, join)
         part = ((hashes >> _U(32)) * _U(parts)) >> _U(32)
         first = np.flatnonzero(np.diff(part, prepend=_U(parts)))
         xors, at = np.bitwise_xor.reduceat(mixed(hashes ^ _BASE), first), part[first]
-        if parts - len(first) >= parts - changed:
+        largest = min(len(hashes) * 100 // join.percent, ends[band + 1] - 1)
+        certain = len(first) - join.difference(len(hashes) + largest)  # parts with shingles that a link leaves equal
+        if certain < 1:
             empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), at)
             xors, at = np.append(xors, np.zeros(len(empty), np.uint64)), np.append(at, empty)
-        found.append(mixed(xors + mixed(at * _U(4096) + _U(band))))
-    return np.concatenate(found)
+        key = mixed(xors + mixed(at * _U(4096) + _U(band)))
+        found.append(key & ~_U(2) | _U(2 * (band % 2)))
+        spare[band % 2] = min(255, max(0, certain - 1))
+    return np.concatenate(found), bytes(spare)
 
 
 def sketch_of(hashes: np.ndarray) -> bytes:
-    """One bit per shingle flipped, in a power of two of bits, at least four times as many as shingles."""
-    bits = 1 << max(6, (4 * len(hashes) - 1).bit_length())
+    """One bit per shingle flipped, in a power of two of bits, at least twice as many as shingles."""
+    bits = 1 << max(6, (2 * len(hashes) - 1).bit_length())
     flips = np.bincount((mixed(hashes + _U(7)) & _U(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(flips & 1).tobytes()
 
@@ -145,10 +166,13 @@ def record(what: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([a, pa.array([what] * n, pa.int32()), x, y, *empty], [f.split()[0] for f in PACKED.split(", ")])
 
 
-def star(nodes: np.ndarray, leaders: np.ndarray) -> tuple[bytes, bytes]:
-    """Distinct pairs: the nodes; the leaders, and after them how many parts each pair shares."""
-    pairs, counts = np.unique(np.stack([nodes, leaders]), axis=1, return_counts=True)
-    return pairs[0].tobytes(), pairs[1].tobytes() + counts.astype("<u8").tobytes()
+def slice_of(key: np.ndarray, n_slices: int) -> np.ndarray:
+    return ((key >> _U(32)) * _U(n_slices)) >> _U(32)
+
+
+def named(key: np.ndarray, n_slices: int) -> np.ndarray:
+    """What a key is called when its documents meet, whichever way they come: its slice and its low half."""
+    return slice_of(key, n_slices) << _U(32) | (key >> _U(1)) & _U(0xFFFFFFFF)
 
 
 def handed_over(keys: list[np.ndarray], nodes: list[int], n_slices: int, beyond: int) -> Iterator[pa.RecordBatch]:
@@ -168,11 +192,10 @@ def handed_over(keys: list[np.ndarray], nodes: list[int], n_slices: int, beyond:
     if len(rest):
         lead = leader[np.concatenate([rest, np.unique(leader[rest])])]
         members = np.concatenate([rest, np.unique(leader[rest])])
-        yield record(MEMBERS, [(beyond, (key[lead] >> _U(1)).tobytes(), table[owner[members]].tobytes())])
-        yield record(PAIRS, [(beyond, *star(table[owner[rest]], table[owner[leader[rest]]]))])
+        yield record(MEMBERS, [(beyond, named(key[lead], n_slices).tobytes(), table[owner[members]].tobytes())])
     keep = ~hot | (np.arange(len(key)) == leader)
     key, owner = key[keep], owner[keep]
-    place = (((key >> _U(32)) * _U(n_slices)) >> _U(32)).astype(np.int64)
+    place = slice_of(key, n_slices).astype(np.int64)
     bounds = np.searchsorted(place, np.arange(n_slices + 1))
     rows = []
     for s in range(n_slices):
@@ -195,16 +218,22 @@ def packed(documents: DataFrame, join: Join, n_slices: int) -> DataFrame:
             found = [shingles(text) for text in texts_of(part)]
             ids = [node_of(h) if len(h) else None for h in found]
             sketches = [sketch_of(h) if len(h) else None for h in found]
-            n = len(found)
-            arrays = [pa.array([beyond] * n, pa.int32()), pa.array([DOCUMENTS] * n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
-            arrays += [part.column("doc_id"), pa.array([len(h) for h in found], pa.int64()), pa.array(ids, pa.int64()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in PACKED.split(", ")])
+            spare: list[bytes | None] = []
+            new = []
             for node, hashes in zip(ids, found):
+                spare.append(None)
                 if node is not None and node not in met:
                     met.add(node)
-                    keys.append(part_keys(hashes, join))
-                    nodes.append(node)
-                    total += len(keys[-1])
+                    key, spare[-1] = part_keys(hashes, join)
+                    new.append((key, node))
+            n = len(found)
+            arrays = [pa.array([beyond] * n, pa.int32()), pa.array([DOCUMENTS] * n, pa.int32()), pa.array(spare, pa.binary()), pa.nulls(n, pa.binary())]
+            arrays += [part.column("doc_id"), pa.array([len(h) for h in found], pa.int64()), pa.array(ids, pa.int64()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in PACKED.split(", ")])
+            for key, node in new:
+                keys.append(key)
+                nodes.append(node)
+                total += len(key)
                 if total >= MOST_KEYS or len(nodes) >= MOST_DOCUMENTS:
                     yield from handed_over(keys, nodes, n_slices, beyond)
                     keys, nodes, met, total = [], [], set(), 0
@@ -215,7 +244,7 @@ def packed(documents: DataFrame, join: Join, n_slices: int) -> DataFrame:
 
 
 def met_in_slices(rows: DataFrame, n_slices: int) -> DataFrame:
-    """Keys become MEMBERS (key, node) where two or more nodes have them, and PAIRS of each node with the least one."""
+    """Keys become MEMBERS (key, node) where two or more nodes have them."""
 
     def meet(part: pa.Table) -> pa.Table:
         slice_, what = part.column("slice")[0].as_py(), part.column("what").to_numpy()
@@ -232,57 +261,219 @@ def met_in_slices(rows: DataFrame, n_slices: int) -> DataFrame:
         new = np.ones(len(k), bool)
         new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
         k, v = k[new], v[new]
-        _, first, counts = np.unique(k, return_index=True, return_counts=True)
+        _, counts = np.unique(k, return_counts=True)
         many = np.repeat(counts > 1, counts)
-        k, v, least = k[many], v[many], v[np.repeat(first, counts)[many]]
+        k, v = k[many], v[many]
         out = [others]
         if len(k):
-            full, others_ = k | _U(slice_ << 32), v != least
-            made = [record(MEMBERS, [(slice_, full.tobytes(), v.tobytes())]), record(PAIRS, [(slice_, *star(v[others_], least[others_]))])]
-            out.append(pa.Table.from_batches(made).cast(part.schema))
+            made = record(MEMBERS, [(slice_, (k | _U(slice_ << 32)).tobytes(), v.tobytes())])
+            out.append(pa.Table.from_batches([made]).cast(part.schema))
         return pa.concat_tables(out)
 
     return rows.groupBy("slice").applyInArrow(meet, PACKED)
 
 
-def unpacked(rows: DataFrame, what: int, names: tuple[str, ...]) -> DataFrame:
+def unpacked(rows: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """Two columns from the packed ones of `rows`, x and y."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
-            x, y = (np.frombuffer(part.column(c)[0].as_py(), np.int64) for c in ("x", "y"))
-            columns = [x, *y.reshape(-1, len(x))] if len(x) else []
-            for start in range(0, len(x), 50_000):
+            columns = [np.frombuffer(part.column(c)[0].as_py(), np.int64) for c in ("x", "y")]
+            for start in range(0, len(columns[0]), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 50_000]) for c in columns], list(names))
 
-    return rows.filter(F.col("what") == what).select("x", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+    return rows.select("x", "y").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
-def near_enough(pairs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
-    """Pairs (x, y) whose sketches are no farther apart than a link allows."""
-    of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+def rare(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members without those that their nodes may leave out: the most frequent of each node and kind of band."""
+    by_key = members.repartition("key").distinct()
+    often = by_key.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= FREQUENT)
+    counted = by_key.join(often, "key", "left")
+    odd = (F.col("key") % 2 != 0).alias("odd")
+    asked = counted.filter("size IS NOT NULL").select("key", "node", "size", odd).join(nodes.select("node", "spare"), "node")
+    place = F.row_number().over(W.partitionBy("node", "odd").orderBy(F.desc("size"), "key"))
+    spare = F.conv(F.hex(F.substring("spare", F.col("odd").cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = asked.withColumn("place", place).filter(F.col("place") > spare).select("key", "node")
+    return counted.filter("size IS NULL").select("key", "node").unionByName(kept)
 
-    def near(part: pa.RecordBatch) -> pa.RecordBatch:
-        kept = []
-        for a, b, p, q in zip(*(part.column(c).to_pylist() for c in ("n_x", "n_y", "s_x", "s_y"))):
-            size = min(len(p), len(q))
-            kept.append(int(np.bitwise_count(folded(p, size) ^ folded(q, size)).sum()) <= join.difference(a + b))
-        return part.select(["x", "y"]).filter(pa.array(kept, pa.bool_()))
 
-    return map_slices(pairs.join(of("x"), "x").join(of("y"), "y"), near, "x bigint, y bigint")
+def stars(members: DataFrame) -> DataFrame:
+    """(leader, node): each node once with every least node of the parts that it shares, these included."""
+    by_key = members.repartition("key")
+    least = by_key.groupBy("key").agg(F.min("node").alias("leader"))
+    return by_key.join(least, "key").select("leader", "node").distinct()
+
 
+def binned(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Stars with their nodes' sketches, dealt to bins. Small stars share bins; of a large one, each pair of blocks has its own."""
+    sizes = rows.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("size"))
+    rows = rows.join(sizes.filter("size > 1").drop("size"), "leader").join(nodes.select("node", "n", "sketch"), "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    shared = F.pmod(F.xxhash64("leader"), F.lit(tasks(rows.sparkSession)))
+    bin_ = F.when(F.col("blocks") == 1, shared).otherwise(F.xxhash64("leader", "i", "j"))
+    return rows.select(bin_.alias("bin"), "leader", (F.col("i") != F.col("j")).alias("apart"), "own", "node", "n", "sketch")
 
-def verified(pairs: DataFrame, docs: DataFrame, documents: DataFrame, join: Join) -> DataFrame:
-    """The pairs that link by their shingles, which are taken from the texts again for the nodes concerned only."""
-    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    wanted = docs.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+
+def near_pairs(part: pa.Table, join: Join) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places in `part` of the pairs of one star whose sketches are no farther apart than a link allows, and how far.
+
+    Rows are sorted by star and size, and each is compared with those behind it until these are too large to link.
+    """
+    leader, n, own = (part.column(c).to_numpy() for c in ("leader", "n", "own"))
+    apart, sketch = part.column("apart").to_numpy(zero_copy_only=False), part.column("sketch").to_pylist()
+    size = np.array([len(k) for k in sketch])
+    at_size = {}  # per size: the sketches of this size and those twice as long, and where they are
+    for bytes_ in np.unique(size).tolist():
+        rows = np.flatnonzero((size == bytes_) | (size == 2 * bytes_))
+        where = np.zeros(len(size), np.int64)
+        where[rows] = np.arange(len(rows))
+        at_size[bytes_] = np.stack([folded(sketch[r], bytes_) for r in rows.tolist()]), where
+    x, step = np.arange(len(n) - 1), 1
+    while len(x := x[x + step < len(n)]):
+        y = x + step
+        x = x[(leader[y] == leader[x]) & (n[y] * join.percent <= 100 * n[x])]
+        for start in range(0, len(x), AT_ONCE):
+            a = x[start : start + AT_ONCE]
+            a = a[~apart[a] | (own[a] != own[a + step])]
+            for bytes_ in np.unique(size[a]).tolist():
+                of, where = at_size[bytes_]
+                p = a[size[a] == bytes_]
+                q = p + step
+                far = np.bitwise_count(of[where[p]] ^ of[where[q]]).sum(axis=1)
+                near = far <= (n[p] + n[q]) * (100 - join.percent) // (100 + join.percent)
+                if near.any():
+                    yield p[near], q[near], far[near] / (n[p] + n[q])[near]
+        step += 1
+
+
+def forest(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs, taken in order, join two trees of those before them."""
+    root: dict[int, int] = {}
+
+    def find(a: int) -> int:
+        while (b := root.get(a, a)) != a:
+            root[a] = a = root.get(b, b)
+        return a
+
+    chosen = np.zeros(len(x), bool)
+    for k, (a, b) in enumerate(zip(x.tolist(), y.tolist())):
+        if (a := find(a)) != (b := find(b)):
+            root[a] = b
+            chosen[k] = True
+    return chosen
+
+
+def divided(bin_: int, x: np.ndarray, y: np.ndarray, chosen: np.ndarray) -> list[dict]:
+    """Rows of NEAR: the pairs of the forest, and the others in their order."""
+    both = ((True, chosen), (False, ~chosen))
+    return [{"bin": bin_, "forest": f, "x": x[k].tobytes(), "y": y[k].tobytes()} for f, k in both if k.any()]
+
+
+def compared(rows: DataFrame, join: Join) -> DataFrame:
+    """Near pairs of every bin as rows of NEAR, the nearest first."""
+    schema = pa.schema([("bin", pa.int64()), ("forest", pa.bool_()), ("x", pa.binary()), ("y", pa.binary())])
+
+    def compare(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("leader", "ascending"), ("n", "ascending"), ("node", "ascending")])
+        bin_, node = part.column("bin")[0].as_py(), part.column("node").to_numpy()
+        made, held, total = [], [], 0
+
+        def let_go() -> None:
+            p, q, far = (np.concatenate(c) for c in zip(*held))
+            x, y = np.minimum(node[p], node[q]), np.maximum(node[p], node[q])
+            order = np.lexsort((y, x))
+            first = np.ones(len(order), bool)  # a pair of several stars counts once
+            first[1:] = (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)
+            order = order[first]
+            order = order[np.argsort(far[order], kind="stable")]
+            x, y = x[order], y[order]
+            made.extend(divided(bin_, x, y, forest(x, y)))
+            held.clear()
+
+        for found in near_pairs(part, join):
+            held.append(found)
+            total += len(found[0])
+            if total >= MOST_PAIRS:
+                let_go()
+                total = 0
+        if held:
+            let_go()
+        return pa.Table.from_pylist(made, schema)
+
+    return rows.groupBy("bin").applyInArrow(compare, NEAR)
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """(bin, node): each node of a bin's pairs once. Pairs stay packed, only their ends become rows."""
+
+    def ends(part: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.unique(np.concatenate([np.frombuffer(v, np.int64) for v in xy])) for xy in zip(part.column("x").to_pylist(), part.column("y").to_pylist())]
+        bins = np.repeat(part.column("bin").to_numpy(), [len(f) for f in found])
+        return pa.RecordBatch.from_arrays([pa.array(bins, pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["bin", "node"])
+
+    return map_slices(pairs.select("bin", "x", "y"), ends, "bin bigint, node bigint").distinct()
+
+
+def across(rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of the near pairs not verified yet, those whose ends are in different components, and a forest of these."""
+    schema = pa.schema([("bin", pa.int64()), ("forest", pa.bool_()), ("x", pa.binary()), ("y", pa.binary())])
+
+    known = ends_of(rest).join(labels, "node")
+    empty = F.lit(None).cast("binary")
+    known = known.select("bin", "node", "component", empty.alias("x"), empty.alias("y"))
+    rows = known.unionByName(rest.select("bin", "x", "y"), allowMissingColumns=True)
+
+    def divide(part: pa.Table) -> pa.Table:
+        mask = part.column("node").is_valid()
+        table = part.filter(mask).sort_by([("node", "ascending")])
+        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        made = []
+
+        def label(v: np.ndarray) -> np.ndarray:
+            if not len(node):
+                return v
+            at = np.minimum(np.searchsorted(node, v), len(node) - 1)
+            return np.where(node[at] == v, component[at], v)
+
+        for row in part.filter(part.column("x").is_valid()).select(["bin", "x", "y"]).to_pylist():
+            x, y = np.frombuffer(row["x"], np.int64), np.frombuffer(row["y"], np.int64)
+            a, b = label(x), label(y)
+            k = a != b
+            made += divided(row["bin"], x[k], y[k], forest(a[k], b[k]))
+        return pa.Table.from_pylist(made, schema)
+
+    return rows.groupBy("bin").applyInArrow(divide, NEAR)
+
+
+def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose doc_id is wanted, and few others: a bit per hash of a wanted id, in a filter of fixed size."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_PLACES))
+    row, inside = F.floor(place / FILTER_ROW).cast("int"), (place % FILTER_ROW).cast("int")
+    bits = wanted.select(row.alias("row"), inside.cast("bigint").alias("inside")).groupBy("row").agg(F.bitmap_construct_agg("inside").alias("bits"))
+    byte = F.expr("cast(conv(hex(substring(bits, cast(floor(inside / 8) as int) + 1, 1)), 16, 10) as int)")
+    found = rows.withColumn("row", row).withColumn("inside", inside).join(F.broadcast(bits), "row")
+    return found.filter(F.getbit(byte, F.col("inside") % 8) == 1).select(*rows.columns)
+
+
+def sets_of(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """(node, hashes) of the nodes that are in near pairs, from the text of one document of each."""
+    wanted = written(nodes.select("doc_id").distinct(), "wanted")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(F.col("text").isNotNull())
 
     def sets(part: pa.RecordBatch) -> pa.RecordBatch:
         found = [h for h in map(shingles, texts_of(part)) if len(h)]
         return pa.RecordBatch.from_arrays([pa.array([node_of(h) for h in found], pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], ["node", "hashes"])
 
-    taken = map_slices(texts.join(wanted, "doc_id", "left_semi"), sets, "node bigint, hashes binary")
-    taken = taken.dropDuplicates(["node"])
-    of = lambda side: taken.select(F.col("node").alias(side), F.col("hashes").alias(f"h_{side}"))
+    taken = map_slices(likely(texts, wanted).join(wanted, "doc_id", "left_semi"), sets, "node bigint, hashes binary")
+    return taken.dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """The pairs (x, y) that link by their shingles."""
+    of = lambda side: sets.select(F.col("node").alias(side), F.col("hashes").alias(f"h_{side}"))
 
     def linked(part: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
@@ -295,55 +486,6 @@ def verified(pairs: DataFrame, docs: DataFrame, documents: DataFrame, join: Join
     return map_slices(pairs.join(of("x"), "x").join(of("y"), "y"), linked, "x bigint, y bigint")
 
 
-def across_components(members: DataFrame, labels: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
-    """Pairs of different components that share a part and whose sketches are near enough.
-
-    Parts with many documents are compared block by block, each pair of blocks in its own group. Parts with the same least
-    node go to the same bin: what documents share, they mostly share in several parts, so a bin needs each sketch once.
-    """
-    spark = members.sparkSession
-    labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_keys = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("leader"))
-    mixed_keys = mixed_keys.filter("low < high").select("key", "leader", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.join(mixed_keys, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    bin_ = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("leader"), F.lit(tasks(spark)))).otherwise(F.xxhash64("leader", "blocks", "i", "j"))
-    rows = rows.withColumn("bin", bin_).groupBy("bin", "i", "j", "own", "node", "component").agg(F.collect_list("key").alias("keys"))
-    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
-
-    def compare(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("node", "ascending")])
-        i, j, own, node, component, n = (part.column(c).to_numpy() for c in ("i", "j", "own", "node", "component", "n"))
-        sketch, lists = part.column("sketch").to_pylist(), part.column("keys").combine_chunks()
-        key = lists.flatten().to_numpy()
-        row = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy()))
-        order = np.lexsort((row, key))
-        key, row = key[order], row[order]
-        bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-        xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for low, high in zip(bounds, bounds[1:]):
-            at = row[low:high]
-            if len(at) < 2 or (component[at] == component[at[0]]).all():
-                continue
-            size = min(len(sketch[r]) for r in at)
-            sketches = np.stack([folded(sketch[r], size) for r in at])
-            for k, r in enumerate(at[:-1].tolist()):
-                later = at[k + 1 :]
-                across = (component[later] != component[r]) & ((i[r] == j[r]) | (own[later] != own[r]))
-                if across.any():
-                    apart = np.bitwise_count(sketches[k + 1 :][across] ^ sketches[k]).sum(axis=1)
-                    most = (n[later][across] + n[r]) * (100 - join.percent) // (100 + join.percent)
-                    hits = node[later][across][apart <= most]
-                    xs.append(np.full(len(hits), node[r]))
-                    ys.append(hits)
-        pairs = np.unique(np.stack([np.concatenate(ys), np.concatenate(xs)]), axis=1)
-        return pa.table({"x": pa.array(pairs[0], pa.int64()), "y": pa.array(pairs[1], pa.int64())})
-
-    columns = ["bin", "keys", "i", "j", "own", "node", "component", "n", "sketch"]
-    return rows.select(*columns).groupBy("bin").applyInArrow(compare, "x bigint, y bigint").distinct()
-
-
 def parity_join(documents: DataFrame, join: Join = Join()) -> DataFrame:
     """n_shingles and component_id of every document: the least doc_id that links lead to, its own included.
 
@@ -355,20 +497,23 @@ def parity_join(documents: DataFrame, join: Join = Join()) -> DataFrame:
     spark = documents.sparkSession
     n_slices = tasks(spark)
     met = written(met_in_slices(packed(documents, join, n_slices), n_slices), "parity")
-    docs = met.filter(F.col("what") == DOCUMENTS).select("doc_id", "n", "node", "sketch")
-    members = unpacked(met, MEMBERS, ("key", "node")).distinct()
-    stars = unpacked(met, PAIRS, ("x", "y", "shared")).groupBy("x", "y").agg(F.sum("shared").alias("shared"))
-    best = stars.groupBy("x").agg(F.array_distinct(F.array(F.min("y"), F.max_by("y", F.struct("shared", "y")))).alias("y"))
-    best = best.select("x", F.explode("y").alias("y"))
-    nodes = docs.filter("node IS NOT NULL").groupBy("node").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"))
-
-    near = written(near_enough(best, nodes, join), "near")
-    links = written(verified(near, docs, documents, join), "links")
-    labels = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "labels")
-    across = written(across_components(members, labels, nodes, join), "across")
-    more = written(verified(across, docs, documents, join), "links")
+    docs = met.filter(F.col("what") == DOCUMENTS).select("doc_id", "n", "node", "sketch", F.col("x").alias("spare"))
+    members = unpacked(met.filter(F.col("what") == MEMBERS), ("key", "node"))
+    nodes = docs.filter("node IS NOT NULL").groupBy("node").agg(*[F.min(c).alias(c) for c in ("n", "sketch", "spare", "doc_id")])
+
+    rest = written(compared(binned(stars(rare(members, nodes)), nodes), join), "near")
+    ends = ends_of(rest).select("node").distinct()
+    ids = docs.select("node", "doc_id").join(ends, "node").filter("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sets = written(sets_of(ids, documents), "sets")
+    links = None
+    for _ in range(FOREST_ROUNDS):
+        some = written(verified(unpacked(rest.filter("forest"), ("x", "y")).distinct(), sets, join), "links")
+        links = some if links is None else links.union(some)
+        labels = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "labels")
+        rest = written(across(rest.filter("NOT forest"), labels), "near")
+    links = links.union(written(verified(unpacked(rest, ("x", "y")).distinct(), sets, join), "links"))
     same_id = docs.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    every = links.union(more).select(F.col("x").alias("a"), F.col("y").alias("b")).union(same_id.filter("a < b").select("a", "b"))
+    every = links.select(F.col("x").alias("a"), F.col("y").alias("b")).union(same_id.filter("a < b").select("a", "b"))
     final = components(every)
 
     first = nodes.select("node", "doc_id").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
