@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.sources.json_arrays import array_records
 from tallyforge.sources.paging import by_position
 
 
@@ -27,6 +26,8 @@ def read_landed(
     if layout == "lines":
         records = spark.read.text(path).select(F.col("value").alias("raw_data")).filter(F.trim("raw_data") != "")
     elif layout == "array":
+        from tallyforge.sources.json_arrays import array_records  # needs pyarrow and numpy, in the tasks as well
+
         records = array_records(spark, path)
     else:
         raise ValueError(f"unknown layout {layout!r}")

@@ -53,6 +53,32 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
     assert sorted(got) == list(range(200))
 
 
+def test_text_is_neither_sorted_nor_shuffled(spark, tmp_path):
+    (tmp_path / "page.json").write_text(GOOD)
+    plan = array_records(spark, str(tmp_path))._jdf.queryExecution().sparkPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and not any("piece" in line for line in windows)
+    assert "collect_list" not in "".join(line for line in plan.splitlines() if "piece" in line)
+    for name in ("Sort ", "Aggregate"):  # what is sorted or grouped are fragments of the few records across blocks
+        assert not any("piece#" in line for line in plan.splitlines() if name in line)
+
+
+@pytest.mark.parametrize("rows", ["1", "3"])
+def test_a_block_of_many_batches(spark, tmp_path, rows):
+    key, toss, expected = "spark.sql.execution.arrow.maxRecordsPerBatch", random.Random(int(rows)), []
+    for i in range(5):
+        rows_of = [odd_record(toss) for _ in range(toss.choice([0, 1, 40]))]
+        texts = [json.dumps(r, ensure_ascii=False) for r in rows_of]
+        (tmp_path / f"{i}.json").write_text(f"[{', '.join(texts)}]\n")
+        expected += texts
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        assert records_of(spark, tmp_path) == sorted(expected)
+    finally:
+        spark.conf.set(key, before)
+
+
 GOOD = '[{"a": "x}y", "b": {"c": [1, 2]}}, {"a": 2}]'
 
 
