@@ -486,6 +486,12 @@ def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     return map_slices(pairs.join(of("x"), "x").join(of("y"), "y"), linked, "x bigint, y bigint")
 
 
+def merging(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Edges (a, b) that the links add to components found before, each of these as a star of its own."""
+    edges = links.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return edges if labels is None else edges.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+
+
 def parity_join(documents: DataFrame, join: Join = Join()) -> DataFrame:
     """n_shingles and component_id of every document: the least doc_id that links lead to, its own included.
 
@@ -505,16 +511,13 @@ def parity_join(documents: DataFrame, join: Join = Join()) -> DataFrame:
     ends = ends_of(rest).select("node").distinct()
     ids = docs.select("node", "doc_id").join(ends, "node").filter("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sets = written(sets_of(ids, documents), "sets")
-    links = None
+    labels = None
     for _ in range(FOREST_ROUNDS):
-        some = written(verified(unpacked(rest.filter("forest"), ("x", "y")).distinct(), sets, join), "links")
-        links = some if links is None else links.union(some)
-        labels = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "labels")
+        labels = written(components(merging(labels, written(verified(unpacked(rest.filter("forest"), ("x", "y")).distinct(), sets, join), "links"))), "labels")
         rest = written(across(rest.filter("NOT forest"), labels), "near")
-    links = links.union(written(verified(unpacked(rest, ("x", "y")).distinct(), sets, join), "links"))
-    same_id = docs.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    every = links.select(F.col("x").alias("a"), F.col("y").alias("b")).union(same_id.filter("a < b").select("a", "b"))
-    final = components(every)
+    links = written(verified(unpacked(rest, ("x", "y")).distinct(), sets, join), "links")
+    same_id = docs.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y"))
+    final = components(merging(labels, links.union(same_id.filter("x < y").select("x", "y"))))
 
     first = nodes.select("node", "doc_id").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = first.groupBy("component").agg(F.min("doc_id").alias("component_id"))
